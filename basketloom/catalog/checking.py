@@ -109,36 +109,32 @@ def _(spark, sf):
 def _stat(label, over, text):
     return (
         f"SELECT '{label}' AS summary, "
-        + ", ".join(f"round(CAST({over.format(c=c)} AS DOUBLE), 4) AS {c}" for c in ("dollars", "qty"))
-        + f", {text} AS payment_type FROM s"
+        + ", ".join(f"round(CAST({over.format(c=c)} AS DOUBLE), 4) AS {c}" for c in ("latitude", "total_sales"))
+        + f", {text} AS area FROM outlets"
     )
 
 
 @query(
     "summary_default",
-    "SELECT * FROM (WITH s AS (SELECT CAST(dollars AS DOUBLE) AS dollars, qty, payment_type FROM sales "
-    "LEFT JOIN payment_dim USING (payment_type_id)) "
-    + _union(
+    _union(
         [
-            _stat("count", "count({c})", "CAST(count(payment_type) AS VARCHAR)"),
-            _stat("mean", "avg({c})", "NULL"),
-            _stat("stddev", "stddev({c})", "NULL"),
-            _stat("min", "min({c})", "min(payment_type)"),
+            _stat("count", "count({c})", "CAST(count(area) AS VARCHAR)"),
+            _stat("mean", "avg(CAST({c} AS DOUBLE))", "NULL"),
+            _stat("stddev", "stddev(CAST({c} AS DOUBLE))", "NULL"),
+            _stat("min", "min({c})", "min(area)"),
             *[_stat(f"{p}%", "quantile_disc({c}, " + str(p / 100) + ")", "NULL") for p in (25, 50, 75)],
-            _stat("max", "max({c})", "max(payment_type)"),
+            _stat("max", "max({c})", "max(area)"),
         ]
-    )
-    + ")",
-    "sales payment_dim",
+    ),
+    "outlets",
 )
 def _(spark, sf):
     """Spark's own summary, its text turned back into numbers."""
-    data = v.sales(spark, sf).join(v.payment_dim(spark, sf), "payment_type_id", "left")
-    text = data.select(F.col("dollars").cast("double").alias("dollars"), "qty", "payment_type").summary()
+    text = v.outlets(spark, sf).select("latitude", "total_sales", "area").summary()
     return text.select(
         "summary",
-        *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("dollars", "qty")],
-        "payment_type",
+        *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("latitude", "total_sales")],
+        "area",
     )
 
 

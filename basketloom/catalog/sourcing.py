@@ -55,7 +55,7 @@ def _(spark, sf):
 
 @query(
     "read_parquet",
-    """SELECT customer_id, age, CAST(NULL AS DOUBLE) AS hh_income FROM customer_dim WHERE omni_shopper = 1
+    """SELECT customer_id, CAST(age AS DOUBLE) AS age, CAST(NULL AS DOUBLE) AS hh_income FROM customer_dim WHERE omni_shopper = 1
        UNION ALL SELECT customer_id, NULL, CAST(hh_income AS DOUBLE) FROM customer_dim WHERE omni_shopper = 0""",
     "customer_dim",
 )
