@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sourcing", "checking", "shaping", "imputing", "joining", "grouping"]
+_MODULES = ["sourcing", "checking", "shaping", "imputing", "joining", "grouping", "windowing", "scalars", "features"]
 
 
 def load():

@@ -9,11 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketloom.functions.scalars import EARTH_KM
 
 
-def _km(lat_a: float, lng_a: float, lat_b: float, lng_b: float) -> float:
+def _km(lat_a, lng_a, lat_b, lng_b):
     pa, pb = math.radians(lat_a), math.radians(lat_b)
     u = math.sin((pb - pa) / 2) ** 2
     w = math.sin((math.radians(lng_b) - math.radians(lng_a)) / 2) ** 2
@@ -28,10 +29,10 @@ def _km_arrays(lat_a, lng_a, lat_b, lng_b):
 
 
 #: Row at a time: the slow way.
-haversine_udf = F.udf(_km, "double")
+haversine_udf = F.udf(_km, T.DoubleType())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def haversine_pandas(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return _km_arrays(a, b, c, d)
 
