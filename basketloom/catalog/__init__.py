@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sourcing", "checking", "shaping", "imputing", "joining", "grouping", "windowing", "scalars", "features"]
+_MODULES = [
+    "sourcing", "checking", "shaping", "imputing", "joining", "grouping", "windowing", "scalars", "features", "learning", "dataflow",
+]
 
 
 def load():

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from basketloom.catalog import views as v
 from basketloom.catalog.grouping import enriched
@@ -106,9 +105,9 @@ v.add_view(
 
 
 def totals_sql(columns: Sequence[str]) -> str:
-    """Exact totals: every value rounded to six digits, then added as decimals."""
+    """Exact totals: every value in whole millionths, added as integers."""
     return ", ".join(
-        f"CAST(sum(CAST(round(CAST({c} AS DOUBLE), 6) AS DECIMAL(18,6))) AS DOUBLE) AS {c}, "
+        f"CAST(sum(CAST(floor(CAST({c} AS DOUBLE) * 1000000) AS BIGINT)) AS DOUBLE) AS {c}, "
         f"count({c}) AS n_{c}"
         for c in columns
     )
@@ -116,12 +115,9 @@ def totals_sql(columns: Sequence[str]) -> str:
 
 def totals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     kept = df.select("customer_id", *columns)
-    kind = {f.name: f.dataType for f in kept.schema.fields}
 
     def exact(c: str):
-        if isinstance(kind[c], T.IntegralType):
-            return F.sum(c).cast("double")
-        return F.sum(F.round(F.col(c).cast("double"), 6).cast("decimal(18,6)")).cast("double")
+        return F.sum(F.floor(F.col(c).cast("double") * 1000000.0)).cast("double")
 
     return kept.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("weeks"),
@@ -136,8 +132,7 @@ def _totals_of(view, columns):
 # ---- the same tables on Spark ------------------------------------------------
 
 def weekly(spark, sf) -> DataFrame:
-    rows = panel.enrich(v.sales(spark, sf), v.product_dim(spark, sf), v.payment_dim(spark, sf))
-    return panel.weekly_aggregate(rows, _C, _P)
+    return panel.weekly_aggregate(enriched(spark, sf), _C, _P)
 
 
 def panel_base(spark, sf) -> DataFrame:

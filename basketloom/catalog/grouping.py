@@ -9,6 +9,7 @@ from basketloom.catalog.registry import query
 from basketloom.operators import grouping
 from basketloom.operators.joins import broadcast_if_small
 from basketloom.plans import customers
+from basketloom.plans.enrich import enrich
 
 v.add_view(
     "enriched",
@@ -20,7 +21,7 @@ v.add_view(
 
 
 def enriched(spark, sf):
-    return customers.enrich(v.sales(spark, sf), v.product_dim(spark, sf), v.payment_dim(spark, sf))
+    return enrich(v.sales(spark, sf), v.product_dim(spark, sf), v.payment_dim(spark, sf))
 
 
 _AREA = "SELECT area, classification, {} FROM outlets GROUP BY area, classification"

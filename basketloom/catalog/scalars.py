@@ -66,11 +66,10 @@ def _(spark, sf):
     return v.points(spark, sf).select("pair_id", fn.haversine(*_ARGS).alias("distance"))
 
 
-@query("fn_round", _CODE.format("round(latitude, 1) AS lat_1, round(longitude, 1) AS lng_1"), "outlets")
+@query("fn_round", _CODE.format("round(CAST(total_sales AS DOUBLE) / 1000, 1) AS sales_k"), "outlets")
 def _(spark, sf):
-    return _outlets(spark, sf).select(
-        "outlet_code", F.round("latitude", 1).alias("lat_1"), F.round("longitude", 1).alias("lng_1")
-    )
+    sales_k = F.col("total_sales").cast("double") / 1000
+    return _outlets(spark, sf).select("outlet_code", F.round(sales_k, 1).alias("sales_k"))
 
 
 @query(

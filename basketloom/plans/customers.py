@@ -7,21 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.functions.scalars import clean_label
 from basketloom.operators.grouping import pivot_multi, pivot_single, ratio, share_of_total
-from basketloom.operators.joins import broadcast_if_small
+from basketloom.plans.enrich import cents, enrich, from_cents
+from basketloom.sources.stage import settle
 
 
-def enrich(sales: DataFrame, product: DataFrame, payment: DataFrame) -> DataFrame:
-    return sales.join(product.select("product_id", "category"), "product_id", "left").join(
-        broadcast_if_small(payment.select("payment_type_id", "payment_type")), "payment_type_id", "left"
-    )
+def _overall() -> dict[str, Column]:
+    return {"sales": F.sum("dollars"), "qty": F.sum("qty"), **_distinct()}
 
 
-def _overall() -> dict[str, Column]:
+def _distinct() -> dict[str, Column]:
     return {
-        "sales": F.sum("dollars"),
-        "qty": F.sum("qty"),
         "orders": F.countDistinct("order_id"),
         "unique_products_bought": F.countDistinct("product_id"),
         "unique_payments_used": F.countDistinct("payment_type_id"),
@@ -53,9 +49,7 @@ def category_share_features(enriched: DataFrame, categories: Sequence[str]) -> D
 
 def payment_share_features(enriched: DataFrame, payments: Sequence[str]) -> DataFrame:
     """``pay_<type>``, the share of sales by cleaned payment type."""
-    labelled = enriched.select(
-        "customer_id", clean_label("pay_", "payment_type").alias("payment"), "dollars"
-    )
+    labelled = enriched.select("customer_id", F.concat(F.lit("pay_"), "pay").alias("payment"), "dollars")
     shares = share_of_total(labelled, "customer_id", "payment", {"dollars": "share"})
     return pivot_single(shares, "customer_id", "payment", [f"pay_{p}" for p in payments], F.max("share"))
 
@@ -68,31 +62,45 @@ def customer_features(
     categories: Sequence[str],
     payments: Sequence[str],
 ) -> DataFrame:
-    """All features in one aggregate over the joined sales, then the flags.
+    """All features of a customer, with the flags of the customer table.
 
-    The shares are conditional sums over the customer's totals, so the sales
-    are joined and shuffled by customer once instead of once per feature block.
+    The joined sales are written once and aggregated twice: the sums combine
+    well before the shuffle, while the distinct counts send narrow rows only.
+    In one aggregate every distinct column would repeat all sum buffers.
     """
-    pay = clean_label("", F.col("payment_type"))
-    sums = {}
+    rows = settle(
+        enrich(sales, product, payment).select(
+            "customer_id", "order_id", "product_id", "payment_type_id", "category", "pay", "qty",
+            cents("dollars").alias("cents"),
+        ),
+        "enriched",
+    )
+    parts = {}
     for c in categories:
         here = F.col("category") == c
-        sums[f"{c}_cat_sales"] = (F.sum(F.when(here, F.col("dollars"))), "sales")
-        sums[f"{c}_cat_units"] = (F.sum(F.when(here, F.col("qty"))), "qty")
+        parts[f"{c}_cat_sales"] = (F.sum(F.when(here, F.col("cents"))), True)
+        parts[f"{c}_cat_units"] = (F.sum(F.when(here, F.col("qty"))), False)
     for p in payments:
-        sums[f"pay_{p}"] = (F.sum(F.when(pay == p, F.col("dollars"))), "sales")
-    enriched = enrich(sales, product, payment)
-    totals = enriched.groupBy("customer_id").agg(
-        *[c.alias(n) for n, c in _overall().items()], *[c.alias(n) for n, (c, _) in sums.items()]
+        parts[f"pay_{p}"] = (F.sum(F.when(F.col("pay") == p, F.col("cents"))), True)
+    sums = rows.groupBy("customer_id").agg(
+        F.sum("cents").alias("cents"),
+        F.sum("qty").alias("qty"),
+        *[c.alias(n) for n, (c, _) in parts.items()],
     )
-    features = totals.select(
+    distinct = rows.groupBy("customer_id").agg(*[c.alias(n) for n, c in _distinct().items()])
+    totals = sums.join(distinct.withColumnRenamed("customer_id", "__id"), F.col("customer_id").eqNullSafe(F.col("__id")))
+    with_sales = totals.withColumn("sales", from_cents(F.col("cents")))
+    features = with_sales.select(
         "customer_id",
         *_overall(),
         *[c.alias(n) for n, c in derived_ratios().items()],
-        *[ratio(n, whole).alias(n) for n, (_, whole) in sums.items()],
+        *[
+            (ratio(from_cents(F.col(n)), "sales") if money else ratio(n, "qty")).alias(n)
+            for n, (_, money) in parts.items()
+        ],
     )
     flags = customer.select("customer_id", "email_subscribed", "omni_shopper")
-    return features.withColumn("sales", F.col("sales").cast("double")).join(flags, "customer_id", "left")
+    return features.join(flags, "customer_id", "left")
 
 
 def feature_names(categories: Sequence[str], payments: Sequence[str]) -> list[str]:

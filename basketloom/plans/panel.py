@@ -8,15 +8,17 @@ large that customer's share of the sales is.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketloom.functions.scalars import clean_label, month_key, week_end
+from basketloom.functions.scalars import month_key, week_end
 from basketloom.operators.grouping import ratio
 from basketloom.operators.joins import broadcast_if_small
+from basketloom.plans.enrich import cents, from_cents
 from basketloom.sources.stage import settle
 
 # The lengths of the trailing windows in weeks.
@@ -43,15 +45,6 @@ def base_columns(categories: Sequence[str], payments: Sequence[str]) -> list[str
     return ["sales", "orders", "units", *split_columns(categories, payments), "purchase_flag"]
 
 
-def enrich(sales: DataFrame, product: DataFrame, payment: DataFrame) -> DataFrame:
-    """Sales with category, payment type and week. The product table may be large."""
-    return (
-        sales.join(product.select("product_id", "category"), "product_id", "left")
-        .join(broadcast_if_small(payment.select("payment_type_id", "payment_type")), "payment_type_id", "left")
-        .withColumn("week_end", week_end("tran_dt"))
-    )
-
-
 def weekly_aggregate(
     enriched: DataFrame,
     categories: Sequence[str],
@@ -63,35 +56,48 @@ def weekly_aggregate(
     ``payments`` are cleaned labels. ``pay_agg=F.max`` gives the largest single
     amount per payment type instead of the sum.
     """
-    pay = clean_label("", F.col("payment_type"))
-    return enriched.groupBy("customer_id", "week_end").agg(
-        F.sum("dollars").cast(MONEY).alias("sales"),
+    rows = enriched.select(
+        "customer_id", week_end("tran_dt").alias("week_end"), "order_id", "qty", "category", "pay",
+        cents("dollars").alias("cents"),
+    )
+    amounts = {"sales": F.sum("cents")}
+    for c in categories:
+        amounts[f"cat_{c}"] = F.sum(F.when(F.col("category") == c, F.col("cents")))
+    for p in payments:
+        amounts[f"pay_{p}"] = pay_agg(F.when(F.col("pay") == p, F.col("cents")))
+    sums = rows.groupBy("customer_id", "week_end").agg(
+        *[a.alias(n) for n, a in amounts.items()],
         F.countDistinct("order_id").alias("orders"),
         F.sum("qty").alias("units"),
-        *[
-            F.sum(F.when(F.col("category") == c, F.col("dollars"))).cast(MONEY).alias(f"cat_{c}")
-            for c in categories
-        ],
-        *[pay_agg(F.when(pay == p, F.col("dollars"))).cast(MONEY).alias(f"pay_{p}") for p in payments],
+    )
+    money = {n: from_cents(F.col(n)).cast(MONEY).alias(n) for n in amounts}
+    splits = [n for n in amounts if n != "sales"]
+    return sums.select(
+        "customer_id", "week_end", money["sales"], "orders", "units", *[money[n] for n in splits]
     )
 
 
-def weekly_base(weekly: DataFrame) -> DataFrame:
+def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
     """The panel: every week from a customer's first one to the last of all.
 
     Each weekly row emits itself and the empty weeks up to the customer's next
     row, so there is no calendar table and no join. Missing amounts are 0.
+
+    The panel is many times larger than the weekly rows it is exploded from, so
+    the number of tasks follows from the rows it will have, not from the bytes
+    that are shuffled.
     """
     measures = [c for c in weekly.columns if c not in ("customer_id", "week_end")]
     settled = settle(weekly, "weekly")
-    last = settled.agg(F.max("week_end")).scalar()
+    last, rows = _last_week_and_rows(settled)
+    parts = max(int(weekly.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
     mine = Window.partitionBy("customer_id")
     following = F.lead("week_end").over(mine.orderBy("week_end"))
-    spans = settled.select(
+    spans = settled.repartition(parts, "customer_id").select(
         "*",
         F.min("week_end").over(mine).alias("min_week"),
         F.max("week_end").over(mine).alias("max_week"),
-        F.coalesce(F.date_sub(following, 7), last).alias("__until"),
+        F.coalesce(F.date_sub(following, 7), F.lit(last)).alias("__until"),
     )
     filled = spans.withColumn("__week", saturdays(F.col("week_end"), F.col("__until")))
     bought = F.col("__week") == F.col("week_end")
@@ -108,12 +114,30 @@ def weekly_base(weekly: DataFrame) -> DataFrame:
     )
 
 
+def _last_week_and_rows(weekly: DataFrame) -> tuple[datetime.date | None, int]:
+    """Last week of all customers and rows of the filled panel: one small aggregate."""
+    first = weekly.groupBy("customer_id").agg(
+        F.min("week_end").alias("first"), F.max("week_end").alias("last")
+    )
+    # days since 1970 as integers, so the sum needs no second pass for the last week
+    row = first.agg(
+        F.max("last").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.unix_date("first").cast("bigint")).alias("days"),
+    ).first()
+    if not row.n:
+        return None, 0
+    end = (row.last - datetime.date(1970, 1, 1)).days
+    return row.last, (end * row.n - row.days) // 7 + row.n
+
+
 def _whole(df: DataFrame, name: str) -> tuple[Column, int]:
     """The column as bigint in its smallest unit, and units per 1."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.DecimalType):
         unit = 10**kind.scale
-        return (F.col(name) * unit).cast("bigint"), unit
+        # through double: exact below 2**51 units and far cheaper than decimal products
+        return F.rint(F.col(name).cast("double") * float(unit)).cast("bigint"), unit
     if isinstance(kind, T.IntegralType):
         return F.col(name).cast("bigint"), 1
     raise TypeError(f"{name}: trailing sums need integers or decimals, not {kind.simpleString()}")
@@ -131,12 +155,15 @@ def trailing_sums(
     units = {c: _whole(df, c) for c in columns}
     upto = spec.rowsBetween(Window.unboundedPreceding, 0)
     run = df.select("*", *[F.sum(units[c][0]).over(upto).alias(f"__{c}") for c in columns])
+    # one lag per span over all running sums, instead of one per column and span
+    packed = run.withColumn("__run", F.struct(*[F.col(f"__{c}").alias(f"c{i}") for i, c in enumerate(columns)]))
+    lagged = packed.select("*", *[F.lag("__run", n).over(spec).alias(f"__run_{n}") for n in spans])
 
-    def last_n(c: str, n: int) -> Column:
-        total = F.col(f"__{c}") - F.lag(f"__{c}", n, 0).over(spec)
+    def last_n(i: int, c: str, n: int) -> Column:
+        total = F.col(f"__{c}") - F.coalesce(F.col(f"__run_{n}")[f"c{i}"], F.lit(0).cast("bigint"))
         return (total / F.lit(float(units[c][1])) if units[c][1] > 1 else total).alias(f"{c}_{n}w")
 
-    return run.select(*df.columns, *[last_n(c, n) for c in columns for n in spans])
+    return lagged.select(*df.columns, *[last_n(i, c, n) for i, c in enumerate(columns) for n in spans])
 
 
 def sliding_sums(
