@@ -12,6 +12,12 @@ from basketloom.plans.enrich import cents, enrich, from_cents
 from basketloom.sources.stage import settle
 
 
+_OVERALL = [
+    "sales", "qty", "orders", "unique_products_bought", "unique_payments_used", "unique_categories_bought",
+]
+_RATIOS = ["aov", "aur", "upt"]
+
+
 def _overall() -> dict[str, Column]:
     return {"sales": F.sum("dollars"), "qty": F.sum("qty"), **_distinct()}
 
@@ -92,7 +98,7 @@ def customer_features(
     with_sales = totals.withColumn("sales", from_cents(F.col("cents")))
     features = with_sales.select(
         "customer_id",
-        *_overall(),
+        *_OVERALL,
         *[c.alias(n) for n, c in derived_ratios().items()],
         *[
             (ratio(from_cents(F.col(n)), "sales") if money else ratio(n, "qty")).alias(n)
@@ -107,8 +113,8 @@ def feature_names(categories: Sequence[str], payments: Sequence[str]) -> list[st
     """26 names for five categories and five payment types."""
     shares = [f"{c}_cat_{kind}" for c in categories for kind in ("sales", "units")]
     return [
-        *_overall(),
-        *derived_ratios(),
+        *_OVERALL,
+        *_RATIOS,
         *shares,
         *[f"pay_{p}" for p in payments],
         "email_subscribed",

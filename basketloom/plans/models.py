@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -74,16 +75,29 @@ def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = 12
 
 
 def kmeans_sweep(
-    df: DataFrame, key: str, features: str = "features", ks: Iterable[int] = SWEEP, **params
+    df: DataFrame,
+    key: str,
+    features: str = "features",
+    ks: Iterable[int] = SWEEP,
+    parallelism: int = 4,
+    **params,
 ) -> DataFrame:
-    """(k, n_rows, sse, silhouette) for every k; the input is cached once."""
+    """(k, n_rows, sse, silhouette) for every k.
+
+    The input is cached once; some fits run side by side, since the jobs of one
+    fit leave executors idle between its iterations.
+    """
     data = settled_input(df.select(key, features), key)
+    data.count()  # fill the cache before the fits share it
     evaluator = ClusteringEvaluator(featuresCol=features)
-    rows = []
-    for k in ks:
+
+    def run(k: int):
         model = fit_kmeans(data, k, features, **params)
-        silhouette = evaluator.evaluate(model.summary.predictions)
-        rows.append((k, sum(model.summary.clusterSizes), model.summary.trainingCost, float(silhouette)))
+        score = evaluator.evaluate(model.summary.predictions)
+        return k, sum(model.summary.clusterSizes), model.summary.trainingCost, float(score)
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(run), ks)
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, n_rows bigint, sse double, silhouette double")
 
