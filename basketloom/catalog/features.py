@@ -105,23 +105,22 @@ v.add_view(
 
 
 def totals_sql(columns: Sequence[str]) -> str:
-    """Exact totals: every value in whole millionths, added as integers."""
+    """Exact totals: every value in whole millionths, added as integers; a null counts -7."""
     return ", ".join(
-        f"CAST(sum(CAST(floor(CAST({c} AS DOUBLE) * 1000000) AS BIGINT)) AS DOUBLE) AS {c}, "
-        f"count({c}) AS n_{c}"
+        f"CAST(sum(coalesce(CAST(floor(CAST({c} AS DOUBLE) * 1000000) AS BIGINT), -7)) AS DOUBLE) AS {c}"
         for c in columns
     )
 
 
 def totals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    kept = df.select("customer_id", *columns)
-
     def exact(c: str):
-        return F.sum(F.floor(F.col(c).cast("double") * 1000000.0)).cast("double")
+        whole = F.floor(F.col(c).cast("double") * 1000000.0)
+        return F.sum(F.coalesce(whole, F.lit(-7).cast("bigint"))).cast("double")
 
-    return kept.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("weeks"),
-        *[e for c in columns for e in (exact(c).alias(c), F.count(c).alias(f"n_{c}"))],
+    return (
+        df.select("customer_id", *columns)
+        .groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("weeks"), *[exact(c).alias(c) for c in columns])
     )
 
 

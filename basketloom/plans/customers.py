@@ -11,17 +11,12 @@ from basketloom.operators.grouping import pivot_multi, pivot_single, ratio, shar
 from basketloom.plans.enrich import cents, enrich, from_cents
 from basketloom.sources.stage import settle
 
-
 _OVERALL = [
     "sales", "qty", "orders", "unique_products_bought", "unique_payments_used", "unique_categories_bought",
 ]
 _RATIOS = ["aov", "aur", "upt"]
 
 
-def _overall() -> dict[str, Column]:
-    return {"sales": F.sum("dollars"), "qty": F.sum("qty"), **_distinct()}
-
-
 def _distinct() -> dict[str, Column]:
     return {
         "orders": F.countDistinct("order_id"),
@@ -35,10 +30,33 @@ def derived_ratios() -> dict[str, Column]:
     return {"aov": ratio("sales", "orders"), "aur": ratio("sales", "qty"), "upt": ratio("qty", "orders")}
 
 
+def _stored_rows(enriched: DataFrame) -> DataFrame:
+    """The columns the aggregates need, written once for several passes."""
+    columns = ["customer_id", "order_id", "product_id", "payment_type_id", "category", "pay", "qty"]
+    return settle(enriched.select(*columns, cents("dollars").alias("cents")), "enriched")
+
+
+def _totals(rows: DataFrame, parts: dict[str, Column]) -> DataFrame:
+    """Sums and distinct counts per customer, in two aggregates.
+
+    The sums combine well before the shuffle and the distinct counts send
+    narrow rows only; in one aggregate every distinct column would repeat all
+    sum buffers. They are joined as one row per customer, null included.
+    """
+    sums = rows.groupBy("customer_id").agg(
+        F.sum("cents").alias("cents"), F.sum("qty").alias("qty"), *[c.alias(n) for n, c in parts.items()]
+    )
+    distinct = rows.groupBy(F.col("customer_id").alias("__id")).agg(
+        *[c.alias(n) for n, c in _distinct().items()]
+    )
+    totals = sums.join(distinct, F.col("customer_id").eqNullSafe(F.col("__id"))).drop("__id")
+    return totals.withColumn("sales", from_cents(F.col("cents")))
+
+
 def overall_features(enriched: DataFrame) -> DataFrame:
     """Totals, distinct counts and the three ratios."""
-    totals = enriched.groupBy("customer_id").agg(*[c.alias(n) for n, c in _overall().items()])
-    return totals.select("*", *[c.alias(n) for n, c in derived_ratios().items()])
+    totals = _totals(_stored_rows(enriched), {})
+    return totals.select("customer_id", *_OVERALL, *[c.alias(n) for n, c in derived_ratios().items()])
 
 
 def category_share_features(enriched: DataFrame, categories: Sequence[str]) -> DataFrame:
@@ -70,17 +88,9 @@ def customer_features(
 ) -> DataFrame:
     """All features of a customer, with the flags of the customer table.
 
-    The joined sales are written once and aggregated twice: the sums combine
-    well before the shuffle, while the distinct counts send narrow rows only.
-    In one aggregate every distinct column would repeat all sum buffers.
+    The shares are conditional sums, so no feature block needs its own
+    aggregate, pivot and join.
     """
-    rows = settle(
-        enrich(sales, product, payment).select(
-            "customer_id", "order_id", "product_id", "payment_type_id", "category", "pay", "qty",
-            cents("dollars").alias("cents"),
-        ),
-        "enriched",
-    )
     parts = {}
     for c in categories:
         here = F.col("category") == c
@@ -88,15 +98,9 @@ def customer_features(
         parts[f"{c}_cat_units"] = (F.sum(F.when(here, F.col("qty"))), False)
     for p in payments:
         parts[f"pay_{p}"] = (F.sum(F.when(F.col("pay") == p, F.col("cents"))), True)
-    sums = rows.groupBy("customer_id").agg(
-        F.sum("cents").alias("cents"),
-        F.sum("qty").alias("qty"),
-        *[c.alias(n) for n, (c, _) in parts.items()],
-    )
-    distinct = rows.groupBy("customer_id").agg(*[c.alias(n) for n, c in _distinct().items()])
-    totals = sums.join(distinct.withColumnRenamed("customer_id", "__id"), F.col("customer_id").eqNullSafe(F.col("__id")))
-    with_sales = totals.withColumn("sales", from_cents(F.col("cents")))
-    features = with_sales.select(
+    rows = _stored_rows(enrich(sales, product, payment))
+    totals = _totals(rows, {n: c for n, (c, _) in parts.items()})
+    features = totals.select(
         "customer_id",
         *_OVERALL,
         *[c.alias(n) for n, c in derived_ratios().items()],
