@@ -146,6 +146,12 @@ def rolling(spark, sf) -> DataFrame:
     return panel.rolling_feature_table(panel_base(spark, sf), _C, _P)
 
 
+def modelled(spark, sf) -> DataFrame:
+    weeks = settle(weekly(spark, sf), "weekly")
+    table = panel.rolling_feature_table(panel.weekly_base(weeks, stored=True), _C, _P)
+    return panel.model_dataset(table, panel.calendar(weeks))
+
+
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -161,7 +167,7 @@ def customer_table(spark, sf) -> DataFrame:
     return customers.customer_features(
         v.sales(spark, sf),
         v.product_dim(spark, sf),
-        v.payment_dim(spark, sf),
+        settle(v.payment_dim(spark, sf), "payment"),
         v.customer_dim(spark, sf),
         _C,
         _P,
@@ -289,8 +295,7 @@ _SHOWN = ["sales_52w", "sales_26w", "orders_13w", "aov_52w", "cat_PROMO_26w_perc
     "modelled",
 )
 def _(spark, sf):
-    data = panel.model_dataset(stored(spark, sf, "rolling", rolling))
-    return data.select(
+    return modelled(spark, sf).select(
         "customer_id",
         "week_end",
         *panel.LABELS,

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from basketloom.catalog import views as v
 from basketloom.catalog.registry import query
 from basketloom.operators import grouping
-from basketloom.operators.joins import broadcast_if_small
 from basketloom.plans import customers
 from basketloom.plans.enrich import enrich
+from basketloom.sources.stage import settle
 
 v.add_view(
     "enriched",
@@ -21,7 +21,8 @@ v.add_view(
 
 
 def enriched(spark, sf):
-    return enrich(v.sales(spark, sf), v.product_dim(spark, sf), v.payment_dim(spark, sf))
+    payment = settle(v.payment_dim(spark, sf), "payment")
+    return enrich(v.sales(spark, sf), v.product_dim(spark, sf), payment)
 
 
 _AREA = "SELECT area, classification, {} FROM outlets GROUP BY area, classification"

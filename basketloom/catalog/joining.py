@@ -9,6 +9,7 @@ from basketloom.catalog.registry import query
 from basketloom.functions.scalars import week_end
 from basketloom.operators import joins
 from basketloom.plans import panel
+from basketloom.sources.stage import settle
 
 _SALES = """s.order_id, s.line_no, CAST(s.tran_dt AS VARCHAR) AS tran_dt, s.customer_id,
     CAST(s.dollars AS DOUBLE) AS dollars, s.qty, s.product_id, s.payment_type_id"""
@@ -36,7 +37,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     product = v.product_dim(spark, sf).select("product_id", "category")
-    payment = joins.broadcast_if_small(v.payment_dim(spark, sf))
+    payment = joins.broadcast_if_small(settle(v.payment_dim(spark, sf), "payment"))
     return v.sales(spark, sf).join(product, ["product_id"], "left").join(payment, ["payment_type_id"], "left")
 
 
@@ -125,7 +126,7 @@ def _(spark, sf):
     "sales payment_dim",
 )
 def _(spark, sf):
-    payment = joins.broadcast_if_small(v.payment_dim(spark, sf))
+    payment = joins.broadcast_if_small(settle(v.payment_dim(spark, sf), "payment"))
     return v.sales(spark, sf).join(payment, "payment_type_id", "left")
 
 
@@ -151,7 +152,8 @@ def _(spark, sf):
     """Keep the last selling day of every month."""
     sales = v.sales(spark, sf)
     days = sales.groupBy(F.trunc("tran_dt", "month").alias("month")).agg(F.max("tran_dt").alias("tran_dt"))
-    return sales.join(joins.broadcast_if_small(days.select("tran_dt")), "tran_dt", "left_semi")
+    short = settle(days.select("tran_dt"), "days")
+    return sales.join(joins.broadcast_if_small(short), "tran_dt", "left_semi")
 
 
 @query(

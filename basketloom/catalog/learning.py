@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.catalog import views as v
-from basketloom.catalog.features import _FEATURES, customer_table, rolling, stored
+from basketloom.catalog.features import _FEATURES, customer_table, modelled, rolling, stored
 from basketloom.catalog.registry import query
 from basketloom.operators import grouping
 from basketloom.operators.checks import value_counts
-from basketloom.plans import customers, jobs, models, panel
+from basketloom.plans import customers, jobs, models
 from basketloom.sources.files import write_parquet
 from basketloom.sources.stage import stage_path
 
@@ -48,10 +48,8 @@ def _model_rows(spark, sf) -> DataFrame:
     """Modelling rows with their side of the split and the feature vector."""
 
     def build(spark, sf):
-        features = stored(spark, sf, "rolling", rolling)
-        rows = jobs.filled(panel.model_dataset(features))
-        rows = models.hash_split(rows, ["customer_id", "week_end"])
-        return models.assemble(rows, panel.feature_columns(features)).select(
+        rows = models.hash_split(jobs.filled(modelled(spark, sf)), ["customer_id", "week_end"])
+        return models.assemble(rows, _FEATURES).select(
             "customer_id", "week_end", _LABEL, "is_train", "features"
         )
 
@@ -304,8 +302,7 @@ def _(spark, sf):
     "modelled",
 )
 def _(spark, sf):
-    names = panel.feature_columns(stored(spark, sf, "rolling", rolling))
-    table = models.feature_importance(_model_rows(spark, sf), _forest(spark, sf), names)
+    table = models.feature_importance(_model_rows(spark, sf), _forest(spark, sf), _FEATURES)
     total = table.agg(F.sum("relative_importance")).scalar()
     return table.select(
         "name",
@@ -369,9 +366,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """The batch job: saved stages and forest over the newest week."""
-    features, path = stored(spark, sf, "rolling", rolling), stage_path(spark, "latest")
+    features, path = rolling(spark, sf), stage_path(spark, "latest")
     write_parquet(features, f"{path}/features")
-    models.feature_stages(panel.feature_columns(features)).fit(features).write().overwrite().save(f"{path}/models/stages")
+    models.feature_stages(_FEATURES).fit(features).write().overwrite().save(f"{path}/models/stages")
     _forest(spark, sf).write().overwrite().save(f"{path}/models/forest")
     scored = jobs.score_latest(spark, f"{path}/features", f"{path}/models", f"{path}/scored")
     return scored.select("customer_id", "week_end", F.col("score").between(0, 1).cast("int").alias("in_range"))

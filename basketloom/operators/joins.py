@@ -12,7 +12,8 @@ SMALL_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger side joins by shuffle.
 
-    The count stops at ``max_rows + 1`` rows.
+    The count stops at ``max_rows + 1`` rows. Give a stored table: a derived one
+    would be computed for the count and again for the join.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 

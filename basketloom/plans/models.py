@@ -34,6 +34,9 @@ FOREST = dict(
 BOOSTED = dict(maxDepth=8, maxIter=16, subsamplingRate=0.7, seed=125)
 SWEEP = range(2, 21)
 
+#: Rows per partition of a cached training set.
+FIT_ROWS = 50_000
+
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
     """One vector of the columns; nulls must be filled before."""
@@ -65,8 +68,11 @@ def hash_split(df: DataFrame, keys: Sequence[str], share: float = 0.8) -> DataFr
 
 
 def settled_input(df: DataFrame, key: str) -> DataFrame:
-    """Cached rows in an order that repeats, for fits that read them many times."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Cached rows in an order that repeats, for fits that read them many times.
+
+    Partitions follow from the rows: every iteration is a job over all of them.
+    """
+    parts = max(1, -(-df.count() // FIT_ROWS))
     return df.repartition(parts, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -79,7 +85,7 @@ def kmeans_sweep(
     key: str,
     features: str = "features",
     ks: Iterable[int] = SWEEP,
-    parallelism: int = 4,
+    parallelism: int = 8,
     **params,
 ) -> DataFrame:
     """(k, n_rows, sse, silhouette) for every k.

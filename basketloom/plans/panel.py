@@ -77,7 +77,7 @@ def weekly_aggregate(
     )
 
 
-def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
+def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000, stored: bool = False) -> DataFrame:
     """The panel: every week from a customer's first one to the last of all.
 
     Each weekly row emits itself and the empty weeks up to the customer's next
@@ -85,12 +85,12 @@ def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
 
     The panel is many times larger than the weekly rows it is exploded from, so
     the number of tasks follows from the rows it will have, not from the bytes
-    that are shuffled.
+    that are shuffled. ``stored`` says that ``weekly`` is a stored table already.
     """
     measures = [c for c in weekly.columns if c not in ("customer_id", "week_end")]
-    settled = settle(weekly, "weekly")
+    settled = weekly if stored else settle(weekly, "weekly")
     last, rows = _last_week_and_rows(settled)
-    parts = max(int(weekly.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
+    parts = max(weekly.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task))
     mine = Window.partitionBy("customer_id")
     following = F.lead("week_end").over(mine.orderBy("week_end"))
     spans = settled.repartition(parts, "customer_id").select(
@@ -264,22 +264,34 @@ def feature_columns(features: DataFrame) -> list[str]:
     return [c for c in features.columns if c not in (*IDS, *LABELS)]
 
 
-def model_rows(features: DataFrame, ahead: int = AHEAD) -> tuple[Column, Column]:
+def calendar(weekly: DataFrame) -> DataFrame:
+    """All weeks of the panel, from the stored weekly table."""
+    ends = weekly.agg(F.min("week_end").alias("a"), F.max("week_end").alias("b"))
+    return ends.select(saturdays(F.col("a"), F.col("b")).alias("week_end"))
+
+
+def model_rows(weeks: DataFrame, ahead: int = AHEAD) -> tuple[Column, Column]:
     """Conditions for modelling: active in the last year, and all label weeks known."""
-    newest = features.agg(F.max("week_end")).scalar()
+    newest = weeks.agg(F.max("week_end")).scalar()
     return F.col("sales_52w") > 0, F.col("week_end") < F.date_sub(newest, 7 * (ahead - 1))
 
 
-def month_sample(features: DataFrame) -> DataFrame:
+def month_sample(features: DataFrame, weeks: DataFrame) -> DataFrame:
     """The rows of the last week of every month."""
-    weeks = features.groupBy(month_key("week_end").alias("month")).agg(F.max("week_end").alias("week_end"))
-    return features.join(broadcast_if_small(weeks.select("week_end")), "week_end", "left_semi")
+    ends = weeks.groupBy(month_key("week_end").alias("month")).agg(F.max("week_end").alias("week_end"))
+    short = settle(ends.select("week_end"), "weeks")
+    return features.join(broadcast_if_small(short), "week_end", "left_semi")
 
 
-def model_dataset(features: DataFrame) -> DataFrame:
+def model_dataset(features: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
     """One week per month, active customers, label weeks complete.
 
-    Give a stored feature table: it is read three times, twice for one column.
+    ``weeks`` are the weeks of the panel (:func:`calendar`). With them the
+    features are computed once, for the columns that are used, and need not be
+    stored; without them the weeks are read from the features, which should
+    then be a stored table. The filters come after the windows on purpose:
+    these need every week.
     """
-    active, complete = model_rows(features)
-    return month_sample(features).filter(active & complete)
+    weeks = features.select("week_end") if weeks is None else weeks
+    active, complete = model_rows(weeks)
+    return month_sample(features, weeks).filter(active & complete)

@@ -107,6 +107,10 @@ def test_largest_payment_can_be_asked_for(enriched, sold):
     assert float(weekly.agg(F.max("pay_others")).first()[0]) == want
 
 
+def test_order_of_features(spark, sf):
+    assert panel.feature_columns(features.rolling(spark, sf)) == features._FEATURES
+
+
 def test_one_exchange_for_all_windows(spark, sf):
     plan = features.rolling(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
