@@ -62,7 +62,7 @@ def running_totals(
     opening = per_chunk.select(
         *keys,
         _CHUNK,
-        *[F.sum(n).over(before).cast(chunked.schema[n].dataType).alias(n) for n in totals],
+        *[F.sum(n).over(before).alias(n) for n in totals],
         F.lit(0).alias(_LATER),
     )
     both = chunked.withColumn(_LATER, F.lit(1)).unionByName(opening, allowMissingColumns=True)
@@ -71,8 +71,11 @@ def running_totals(
         .orderBy(F.col(_LATER), *order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    kinds = df.select(*[F.sum(c).alias(n) for n, c in totals.items()]).schema
     return (
-        both.select(*df.columns, _LATER, *[F.sum(n).over(frame).alias(n) for n in totals])
+        both.select(
+            *df.columns, _LATER, *[F.sum(n).over(frame).cast(kinds[n].dataType).alias(n) for n in totals]
+        )
         .filter(F.col(_LATER) == 1)
         .drop(_LATER)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -
 
 def as_uri(path: str) -> str:
     """The path with a scheme, as object stores need it (``s3://...``, ``file:///...``)."""
-    return path if "://" in path else f"file://{path}"
+    return path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"file://{path}"
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, **options: str) -> None:

@@ -28,7 +28,7 @@ def order():
 
 
 def same(a, b):
-    assert a.columns == b.columns
+    assert a.dtypes == b.dtypes
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
 
@@ -118,5 +118,7 @@ def test_first_last_and_top(rows):
         values = [x.v for x in rows.filter(F.col("g").eqNullSafe(F.lit(r.g))).collect() if x.v is not None] if r.id < 6 else None
         if values:
             assert got[r.id] == (min(values), max(values))
-    top = ranking.top_per_group(rows, ["g"], order(), 2).groupBy("g").count()
+    limited = ranking.top_per_group(rows, ["g"], order(), 2)
+    assert "WindowGroupLimit" in limited._jdf.queryExecution().executedPlan().toString()
+    top = limited.groupBy("g").count()
     assert {r["count"] for r in top.collect()} == {2}

@@ -1,6 +1,7 @@
 """One small case per rule on nulls, types and edges."""
 
 import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,23 @@ def test_stage_tables_lie_below_the_application(spark):
     assert stage.settle(spark.range(5)).count() == 5
 
 
+def test_stage_folder_follows_the_session():
+    def session(folder, master):
+        context = SimpleNamespace(applicationId="app-1", master=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert stage.shared_dir(session("s3://bucket/x/", "yarn")) == "s3://bucket/x/basketloom/app-1"
+    assert stage.shared_dir(session(None, "local[2]")).endswith("/basketloom/app-1")
+    with pytest.raises(ValueError):
+        stage.shared_dir(session(None, "yarn"))
+
+
+def test_uri():
+    assert files.as_uri("/a/b") == "file:///a/b"
+    for path in ("s3://bucket/a", "file:/a/b"):
+        assert files.as_uri(path) == path
+
+
 def test_blank_rows(spark, tmp_path):
     path = tmp_path / "padded.csv"
     path.write_text("a,b,\n1,x,\n,,\n2,,\n,,\n")
