@@ -43,3 +43,14 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stage tables that no later plan reads; anything else is left alone."""
+    for df in tables:
+        spark = df.sparkSession
+        base = shared_dir(spark).split(":", 1)[-1].lstrip("/")
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if base in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

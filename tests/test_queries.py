@@ -4,8 +4,9 @@ import check
 import pytest
 
 import __spark_entry__ as entry
+from basketloom.catalog import load
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = load()
 PYTHON = {"udf_scalar", "udf_row", "udf_vectorized", "haversine_variants"}
 
 
@@ -26,6 +27,7 @@ def test_query(name, spark, sf, con):
 
 def test_all_queries_have_sql():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
 def test_entry_is_stable(spark):
