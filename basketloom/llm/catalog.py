@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import ngram_join
+from basketloom.llm import ngram_join, prefix_bpe
 
 QUERIES = {}
 CHECKS: dict[str, str] = {}
@@ -23,3 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_classes(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = prefix_bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = prefix_bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return prefix_bpe.digests(prefix_bpe.decode(encoded, ranks))
