@@ -105,23 +105,32 @@ class PrefixEncoder:
     def last_tokens(self, piece: bytes, known: array | None = None) -> array:
         """The last token of every prefix; ``known`` holds those of the first prefixes."""
         last = array("i", known or ())
-        ranks, tokens, longest, memo = self.ranks, self.tokens, self.longest, self.prefixes
+        ranks, parts, pairs = self.ranks, self.parts, self.pairs
+        longest, memo = self.longest, self.prefixes
         for end in range(len(last) + 1, len(piece) + 1):
             head = piece[:end] if end <= SHORT else None
             rank = memo.get(head)
             if rank is not None:
                 last.append(rank)
                 continue
-            for start in range(max(0, end - longest), end):
+            for start in range(end - 1, max(-1, end - longest - 1), -1):
                 rank = ranks.get(piece[start:end])
-                if rank is not None and (start == 0 or self.valid(last[start - 1], rank)):
-                    if start or self.parts[rank] or len(tokens[rank]) == 1:
-                        last.append(rank)
-                        if head is not None:
-                            if len(memo) > CACHE:
-                                memo.clear()
-                            memo[head] = rank
-                        break
+                if rank is None:
+                    continue
+                if start:
+                    before = last[start - 1]
+                    fits = pairs.get((before, rank))
+                    if fits is None:
+                        fits = self.valid(before, rank)
+                else:
+                    fits = end == 1 or parts[rank] is not None
+                if fits:
+                    last.append(rank)
+                    if head is not None:
+                        if len(memo) > CACHE:
+                            memo.clear()
+                        memo[head] = rank
+                    break
             else:
                 raise ValueError(f"no token ends at byte {end} of a piece")
         return last
