@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import ngram_join, prefix_bpe
+from basketloom.llm import ngram_join, prefix_bpe, repair_ids
+from basketloom.sources.stage import stage_path
 
 QUERIES = {}
 CHECKS: dict[str, str] = {}
@@ -32,3 +33,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = prefix_bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = prefix_bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return prefix_bpe.digests(prefix_bpe.decode(encoded, ranks))
+
+
+@_query
+def op8_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    path = stage_path(spark, "ids")
+    repair_ids.write_ids(_table(spark, sf_dir, "documents"), path, spec)
+    return repair_ids.checksums(repair_ids.read_ids(spark, path))
