@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import ngram_join, prefix_bpe, repair_ids
+from basketloom.llm import decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids
 from basketloom.sources.stage import stage_path
 
 QUERIES = {}
@@ -44,3 +44,28 @@ def op8_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "ids")
     repair_ids.write_ids(_table(spark, sf_dir, "documents"), path, spec)
     return repair_ids.checksums(repair_ids.read_ids(spark, path))
+
+
+@_query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs)
+
+
+CHECKS["op1_line_dedup"] = line_dedup.SQL
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+CHECKS["op5_decontamination"] = decontaminate.SQL
+
+
+@_query
+def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible.assign(_table(spark, sf_dir, "documents"), limit=1 << 20)
+
+
+CHECKS["op10_extendible_shards"] = extendible.SQL
