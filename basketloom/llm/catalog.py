@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids
+from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, site_quality
 from basketloom.sources.stage import stage_path
 
 QUERIES = {}
@@ -69,3 +69,14 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECKS["op10_extendible_shards"] = extendible.SQL
+
+
+@_query
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decision_list.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept")
+
+
+@_query
+def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
