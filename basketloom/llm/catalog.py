@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, site_quality
+from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, secret_scan, site_quality
 from basketloom.sources.stage import stage_path
 
 QUERIES = {}
@@ -80,3 +80,9 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.reviewed(docs, _table(spark, sf_dir, "labels")))
