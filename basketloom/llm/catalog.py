@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, secret_scan, site_quality
+from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, secret_scan, site_quality, suffix_dedup
 from basketloom.sources.stage import stage_path
 
 QUERIES = {}
@@ -86,3 +86,9 @@ def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.reviewed(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
