@@ -304,10 +304,11 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded rows."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded rows, and any other columns asked for."""
     return decoded.select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
