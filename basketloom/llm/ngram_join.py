@@ -23,7 +23,7 @@ CELLS = 16
 #: Members compared with one text in one task.
 CHUNK = 256
 #: Rounds that compare with one member per prefix shingle, before all remaining pairs.
-STARS = 2
+STARS = 4
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
@@ -278,7 +278,8 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
             discard(rest)
             break
         if turn < STARS:
-            weight = F.xxhash64("root", F.lit(turn))
+            # first the same member for all shingles of a group, so pairs repeat; then any member per shingle
+            weight = F.xxhash64("root") if turn == 0 else F.xxhash64("doc_id", "token", F.lit(turn))
             centre = rest.groupBy("token").agg(F.min(F.struct(weight.alias("w"), "doc_id", "root", "n", "pos")).alias("c"))
             pairs = rest.join(centre, "token").select(
                 F.col("doc_id").alias("a"), F.col("c.doc_id").alias("b"), "n", F.col("c.n").alias("m"), "pos",
