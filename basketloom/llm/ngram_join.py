@@ -23,7 +23,7 @@ CELLS = 16
 #: Members compared with one text in one task.
 CHUNK = 256
 #: Rounds that compare with one member per prefix shingle, before all remaining pairs.
-STARS = 4
+STARS = 2
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
