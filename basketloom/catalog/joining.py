@@ -37,7 +37,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     product = v.product_dim(spark, sf).select("product_id", "category")
-    payment = joins.broadcast_if_small(settle(v.payment_dim(spark, sf), "payment"))
+    payment = settle(v.payment_dim(spark, sf), "payment")
     return v.sales(spark, sf).join(product, ["product_id"], "left").join(payment, ["payment_type_id"], "left")
 
 
@@ -126,7 +126,7 @@ def _(spark, sf):
     "sales payment_dim",
 )
 def _(spark, sf):
-    payment = joins.broadcast_if_small(settle(v.payment_dim(spark, sf), "payment"))
+    payment = settle(v.payment_dim(spark, sf), "payment")
     return v.sales(spark, sf).join(payment, "payment_type_id", "left")
 
 
@@ -153,7 +153,7 @@ def _(spark, sf):
     sales = v.sales(spark, sf)
     days = sales.groupBy(F.trunc("tran_dt", "month").alias("month")).agg(F.max("tran_dt").alias("tran_dt"))
     short = settle(days.select("tran_dt"), "days")
-    return sales.join(joins.broadcast_if_small(short), "tran_dt", "left_semi")
+    return sales.join(short, "tran_dt", "left_semi")
 
 
 @query(

@@ -98,7 +98,7 @@ def _(spark, sf):
     return scaled.select("customer_id", *[F.round(values[i], 12).alias(c) for i, c in enumerate(_SCALED)])
 
 
-@query("fit_apply_stages", _SCALED_SQL, "customer_table")
+@query("pipeline_fit_apply", _SCALED_SQL, "customer_table")
 def _(spark, sf):
     """Fit the stages, save, load and apply them; ids stay beside the vector."""
     data, path = _customers(spark, sf), stage_path(spark, "stages")

@@ -71,7 +71,7 @@ def _(spark, sf):
 
 @query("read_object_store", _CUSTOMER_SQL, "customer_dim")
 def _(spark, sf):
-    uri = files.as_uri(stage_path(spark, "store"))
+    uri = files.as_uri(spark, stage_path(spark, "store"))
     files.write_parquet(v.customer_dim(spark, sf), uri)
     return files.read_parquet(spark, uri)
 

@@ -25,7 +25,7 @@ def haversine(lat_a: Name, lng_a: Name, lat_b: Name, lng_b: Name) -> Column:
     half_phi = F.sin((phi_b - phi_a) / 2)
     half_lambda = F.sin((F.radians(lng_b) - F.radians(lng_a)) / 2)
     chord = half_phi * half_phi + F.cos(phi_a) * F.cos(phi_b) * half_lambda * half_lambda
-    return F.round(F.asin(F.sqrt(chord)) * (2 * EARTH_KM), 3)
+    return F.round(F.asin(F.when(chord > 1, F.lit(1.0)).otherwise(F.sqrt(chord))) * (2 * EARTH_KM), 3)
 
 
 def sales_group(

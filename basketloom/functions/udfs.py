@@ -15,17 +15,19 @@ from basketloom.functions.scalars import EARTH_KM
 
 
 def _km(lat_a, lng_a, lat_b, lng_b):
+    if None in (lat_a, lng_a, lat_b, lng_b):
+        return None
     pa, pb = math.radians(lat_a), math.radians(lat_b)
     u = math.sin((pb - pa) / 2) ** 2
     w = math.sin((math.radians(lng_b) - math.radians(lng_a)) / 2) ** 2
-    return round(2 * EARTH_KM * math.asin(math.sqrt(u + math.cos(pa) * math.cos(pb) * w)), 3)
+    return round(2 * EARTH_KM * math.asin(min(1.0, math.sqrt(u + math.cos(pa) * math.cos(pb) * w))), 3)
 
 
 def _km_arrays(lat_a, lng_a, lat_b, lng_b):
     pa, pb = np.radians(lat_a), np.radians(lat_b)
     u = np.sin((pb - pa) / 2) ** 2
     w = np.sin((np.radians(lng_b) - np.radians(lng_a)) / 2) ** 2
-    return np.round(2 * EARTH_KM * np.arcsin(np.sqrt(u + np.cos(pa) * np.cos(pb) * w)), 3)
+    return np.round(2 * EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(u + np.cos(pa) * np.cos(pb) * w))), 3)
 
 
 #: Row at a time: the slow way.

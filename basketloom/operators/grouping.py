@@ -40,15 +40,25 @@ def share_of_total(df: DataFrame, entity: str, part: str, amounts: Mapping[str,
     return sums.select("*", *[ratio(F.col(c), F.sum(c).over(whole)).alias(n) for c, n in amounts.items()])
 
 
-def pivot_single(df: DataFrame, key: str, column: str, values: Sequence[str], agg: Column) -> DataFrame:
-    return df.groupBy(key).pivot(column, list(values)).agg(agg)
+def _pivoted(df: DataFrame, key: str, column: str, values: Sequence[str] | None):
+    """Without a list, Spark finds the values first; with one, any other value is an error."""
+    if values is None:
+        return df.groupBy(key).pivot(column)
+    name = F.col(column)
+    stray = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), name.cast("string")))
+    checked = F.when(name.isNull() | name.isin(list(values)), name).otherwise(stray.cast(df.schema[column].dataType))
+    return df.withColumn(column, checked).groupBy(key).pivot(column, list(values))
+
+
+def pivot_single(df: DataFrame, key: str, column: str, values: Sequence[str] | None, agg: Column) -> DataFrame:
+    return _pivoted(df, key, column, values).agg(agg)
 
 
 def pivot_multi(
-    df: DataFrame, key: str, column: str, values: Sequence[str], aggs: Mapping[str, Column]
+    df: DataFrame, key: str, column: str, values: Sequence[str] | None, aggs: Mapping[str, Column]
 ) -> DataFrame:
     """Columns ``<value>_<name>``, several aggregates per value."""
-    return df.groupBy(key).pivot(column, list(values)).agg(*[a.alias(n) for n, a in aggs.items()])
+    return _pivoted(df, key, column, values).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
 def profile(
@@ -72,7 +82,8 @@ def profile(
         .select(*keys, *[F.col(c).alias(f"median_{c}") for c in medians])
     )
     if by:
-        return base.join(wide, by, "left")
+        named = wide.withColumnRenamed(by, "__by")
+        return base.join(named, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
     # both are single rows
     return base.select("*", *[wide.select(f"median_{c}").scalar().alias(f"median_{c}") for c in medians])
 

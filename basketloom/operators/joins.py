@@ -5,30 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most rows a side may have to be broadcast by hint or carried in an array.
-SMALL_ROWS = 100_000
+#: Values in a block of :func:`pair_with_all`.
+BLOCK = 1_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side joins by shuffle.
+def pair_with_all(df: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """Every row of ``df`` with every value of a one-column table, of any length.
 
-    The count stops at ``max_rows + 1`` rows. Give a stored table: a derived one
-    would be computed for the count and again for the join.
+    A grid of value blocks and row salts: a row has one salt and goes to every
+    block, a value has one block and goes to every salt, and the two meet in an
+    equi-join, so no task holds all rows or all values. How large the result
+    gets is the caller's decision. Null values are paired too.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def pair_with_all(df: DataFrame, values: DataFrame, name: str, max_values: int = 1_000) -> DataFrame:
-    """Every row of ``df`` with every value of a short one-column table.
-
-    The values travel as one array and are exploded row by row, so nothing is
-    shuffled. A longer table is an error: all pairs of two large tables would
-    be quadratic, and leaving some out would be wrong.
-    """
-    short = values.limit(max_values + 1).agg(
-        F.array_sort(F.collect_list(values.columns[0])).alias("v")
-    )
-    checked = F.when(F.size("v") <= max_values, F.col("v")).otherwise(
-        F.raise_error(F.lit(f"more than {max_values} values to pair with"))
-    )
-    return df.withColumn(name, F.explode(short.select(checked).scalar()))
+    blocks = max(1, -(-values.count() // BLOCK))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")).withColumn("__block", ids(blocks))
+    short = values.select(F.col(values.columns[0]).alias(name)).withColumn("__block", F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int"))
+    return rows.join(short.withColumn("__salt", ids(salts)), ["__block", "__salt"]).select(*df.columns, name)

@@ -44,6 +44,9 @@ def running_totals(
     their partition number; each (partition, group) then starts from the sum of
     the group's earlier partitions, put in front as one extra row.
     """
+    kinds = df.select(*[c.alias(n) for n, c in totals.items()]).dtypes
+    if inexact := [n for n, kind in kinds if kind in ("double", "float")]:
+        raise ValueError(f"sums of doubles depend on the order of addition: {inexact}")
     top, rows = group_extent(df, keys)
     if top <= task_rows:
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -105,12 +105,15 @@ def describe_string(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         .agg(F.count(F.lit(1)).alias("n"))
     )
     first = F.min(F.struct((-F.col("n")).alias("minus_n"), F.col("value")))
-    return counts.groupBy("column_name").agg(
+    found = counts.groupBy("column_name").agg(
         F.sum("n").alias("count"),
         F.count(F.lit(1)).alias("unique"),
         first["value"].alias("top"),
         (-first["minus_n"]).alias("freq"),
     )
+    # a column that is null throughout has a row too
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(found, "column_name", "left").fillna(0, ["count", "unique"])
 
 
 def summary_percentiles(

@@ -2,12 +2,18 @@
 
     spark-submit basketloom/plans/jobs.py score-clusters FEATURES MODELS OUT
     spark-submit basketloom/plans/jobs.py score-latest FEATURES MODELS OUT
+
+Both start from any folder.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 
+if __name__ == "__main__":
+    sys.path.insert(0, os.path.abspath(os.path.join(os.path.dirname(__file__), "..", "..")))
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.clustering import KMeansModel

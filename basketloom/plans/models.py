@@ -174,9 +174,9 @@ def with_score(predicted: DataFrame) -> DataFrame:
 
 
 def auc_roc(df: DataFrame, label: str, score: str, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Area under the ROC curve by rank sums over distinct scores; ties count half."""
+    """Area under the ROC curve by rank sums over distinct scores; ties count half, null labels not at all."""
     counts = settle(
-        df.groupBy(score).agg(
+        df.filter(F.col(label).isNotNull()).groupBy(score).agg(
             F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
             F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
         ),

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from basketloom.functions.scalars import month_key, week_end
 from basketloom.operators.grouping import ratio
-from basketloom.operators.joins import broadcast_if_small
 from basketloom.plans.enrich import cents, from_cents
 from basketloom.sources.stage import settle
 
@@ -280,7 +279,7 @@ def month_sample(features: DataFrame, weeks: DataFrame) -> DataFrame:
     """The rows of the last week of every month."""
     ends = weeks.groupBy(month_key("week_end").alias("month")).agg(F.max("week_end").alias("week_end"))
     short = settle(ends.select("week_end"), "weeks")
-    return features.join(broadcast_if_small(short), "week_end", "left_semi")
+    return features.join(short, "week_end", "left_semi")
 
 
 def model_dataset(features: DataFrame, weeks: DataFrame | None = None) -> DataFrame:

@@ -47,9 +47,12 @@ def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
-def as_uri(path: str) -> str:
-    """The path with a scheme, as object stores need it (``s3://...``, ``file:///...``)."""
-    return path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"file://{path}"
+def as_uri(spark: SparkSession, path: str) -> str:
+    """The path with a scheme; a bare path belongs to the session's default file system."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    bare = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bare.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(bare).toString()
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, **options: str) -> None:

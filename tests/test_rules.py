@@ -1,14 +1,17 @@
 """One small case per rule on nulls, types and edges."""
 
 import datetime
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from basketloom.functions import scalars
+from basketloom.functions import scalars, udfs
 from basketloom.operators import checks, grouping, impute, joins, summaries
-from basketloom.plans import models
+from basketloom.plans import enrich, models
 from basketloom.sources import files, stage
 
 
@@ -92,18 +95,40 @@ def test_week_end_is_saturday(spark):
     assert got == [datetime.date(2020, 12, 5)] * 7 + [datetime.date(2020, 12, 12)]
 
 
-def test_pair_with_all_refuses_long_tables(spark):
-    df = spark.range(3)
-    short = spark.createDataFrame([("a",), ("b",)], "x string")
-    assert joins.pair_with_all(df, short, "x").count() == 6
-    with pytest.raises(Exception, match="more than 1 values"):
-        joins.pair_with_all(df, short, "x", max_values=1).collect()
+def test_pair_with_all_takes_long_tables(spark):
+    rows = spark.range(3)
+    assert joins.pair_with_all(rows, spark.range(5000), "x").distinct().count() == 15_000
+    assert joins.pair_with_all(rows, spark.createDataFrame([], "x string"), "x").count() == 0
 
 
-def test_broadcast_only_after_counting(spark):
-    df = spark.range(10)
-    assert "broadcast" in joins.broadcast_if_small(df)._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in joins.broadcast_if_small(df, 9)._jdf.queryExecution().toString().lower()
+def test_nothing_is_lost_in_silence(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 3.0), (None, 5.0)], "g string, v double")
+    got = {r["g"]: r["median_v"] for r in grouping.profile(df, "v", ["v"], ["v"], "g").collect()}
+    assert got == {"a": 1.0, None: 4.0}
+    text = spark.createDataFrame([(None, "x")], "empty string, full string")
+    assert {r["column_name"]: r["count"] for r in summaries.describe_string(text).collect()} == {"empty": 0, "full": 1}
+    sold = spark.createDataFrame([(1, "A", 2), (1, "NEW", 3)], "k int, c string, n int")
+    with pytest.raises(Exception, match="not listed: NEW"):
+        grouping.pivot_single(sold, "k", "c", ["A"], F.sum("n")).collect()
+    assert grouping.pivot_single(sold, "k", "c", None, F.sum("n")).columns == ["k", "A", "NEW"]
+    scores = spark.createDataFrame([(1, 0.9), (0, 0.1), (None, 0.95)], "y int, s double")
+    assert models.auc_roc(scores, "y", "s").first()["auc"] == 1.0
+    with pytest.raises(Exception, match="whole cents"):
+        spark.sql("SELECT CAST(0.0049 AS DECIMAL(18,4)) AS x").select(enrich.cents("x")).collect()
+
+
+def test_distances_agree_on_nulls(spark):
+    df = spark.createDataFrame([(None, 0.0, 1.0, 1.0), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
+    columns = ["a", "b", "c", "d"]
+    plain = [r[0] for r in df.select(scalars.haversine(*columns)).collect()]
+    assert plain == [r[0] for r in df.select(udfs.haversine_udf(*columns)).collect()]
+    assert plain[0] is None and plain[1] > 20_000
+
+
+def test_jobs_start_from_any_folder(tmp_path):
+    job = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "basketloom", "plans", "jobs.py")
+    run = subprocess.run([sys.executable, job, "no-such-job"], cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
+    assert "KeyError: 'no-such-job'" in run.stderr
 
 
 def test_stage_tables_lie_below_the_application(spark):
@@ -123,10 +148,10 @@ def test_stage_folder_follows_the_session():
         stage.shared_dir(session(None, "yarn"))
 
 
-def test_uri():
-    assert files.as_uri("/a/b") == "file:///a/b"
+def test_uri(spark):
+    assert files.as_uri(spark, "/a/b") == "file:/a/b"
     for path in ("s3://bucket/a", "file:/a/b"):
-        assert files.as_uri(path) == path
+        assert files.as_uri(spark, path) == path
 
 
 def test_blank_rows(spark, tmp_path):
