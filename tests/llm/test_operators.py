@@ -1,0 +1,307 @@
+"""The ten operators: against SQL, brute force, round trips and held-out labels, and on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from array import array
+from collections import Counter, defaultdict
+
+import check
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from basketloom.llm import (
+    catalog, components, decision_list, decontaminate, extendible, hashing, line_dedup, ngram_join, prefix_bpe, repair_ids,
+    secret_scan, site_quality, suffix_dedup,
+)
+from basketloom.sources.stage import stage_path
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, version int, s string"
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """doc_id -> text; a null id, equal rows, blanks, copies, near copies, long words and shared passages."""
+    base, shared = prose(1, 120), prose(2, 90)
+    near = base.split()
+    near[60] = "changed"
+    lines = "\n".join(prose(k, 8) for k in range(5))
+    rows = [
+        (1, base), (2, base.upper()), (3, " ".join(near)), (4, None), (5, ""), (6, " \n\t "), (7, "one two"), (8, "One  two"),
+        (9, prose(3, 60) + " " + shared), (10, shared + "\n" + prose(4, 60)), (11, lines), (12, "x\n" + lines + "\ny"),
+        (13, "é😀 " * 300), (14, "w" * 3000), (15, prose(5, 200)), (15, prose(5, 200)), (None, prose(6, 150)), (None, None),
+    ]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, ["en", None][k % 2], ["a", None, "b"][k % 3], 0, True, 7, "s") for k, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.CHECKS))
+def test_against_sql(name, spark, sf, con):
+    bad, rows = check.compare(catalog.QUERIES[name](spark, sf), con, catalog.CHECKS[name])
+    assert bad is None and rows
+
+
+def test_ten_queries():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.QUERIES) == list(range(1, 11))
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
+    out = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    roots = {r["node"]: r["root"] for r in out}
+    assert len({roots[i] for i in range(41)}) == 1 and len({roots[i] for i in range(100, 160)}) == 1 and len(roots) == 101
+
+
+def shingle_set(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+
+
+def test_near_classes(docs, texts):
+    sets = defaultdict(list)
+    for i, t in texts:
+        sets[i].append(shingle_set(t))
+    named = [i for i in sets if i is not None]
+    parent = {i: i for i in named}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a in named:
+        for b in named:
+            if any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+                lo, hi = sorted((find(a), find(b)))
+                parent[hi] = lo
+    got = ngram_join.near_classes(docs).collect()
+    assert len(got) == len(texts)
+    assert {(r["doc_id"], r["component_id"]) for r in got if r["doc_id"]} == {(i, find(i)) for i in named}
+    assert sorted(r["n_shingles"] for r in got) == sorted(len(shingle_set(t)) for _, t in texts)
+    assert {find(i) for i in (1, 2, 3)} == {1} and find(8) == 7
+
+
+def test_shingles_match_words():
+    for text in ("a b c d e f", "A b\tc d  e f ", "é é é", "", None, "\x00 b"):
+        assert len(hashing.shingles(text)) == len(shingle_set(text))
+
+
+def test_line_dedup(docs, texts):
+    got = line_dedup.remove_repeated_lines(docs.drop("kept"))
+    rows = {r["doc_id"]: r for r in got.collect() if r["doc_id"]}
+    assert got.count() == len(texts) and rows[12]["text"] == "x\ny" and rows[12]["n_removed"] == 5
+    assert rows[11]["n_removed"] == 0 and rows[4]["text"] is None and rows[5]["text"] == ""
+
+
+def test_line_windows_overlap(spark):
+    got = line_dedup.remove_repeated_lines(spark.createDataFrame([(1, "a\na\na\na\na"), (2, "\n\n\n\n")], "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {1: 4, 2: 0}
+
+
+def test_leaks(spark, docs, texts):
+    whole = dict(t for t in texts if t[0])
+    items = [(1, " ".join(whole[15].split()[50:70])), (2, "two"), (3, None), (4, prose(77, 20)), (5, whole[9].upper()[-200:]), (2, "two")]
+    table = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id long")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, table).collect()}
+    assert got >= {(15, 1), (7, 2), (8, 2), (9, 5), (10, 5)} and not any(i in (3, 4) for _, i in got)
+    assert decontaminate.find_leaks(docs, table.limit(0)).count() == 0
+
+
+def test_quality_statistics(docs, texts):
+    def counts(text):
+        w = WORD.findall(text or "")
+        seen = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        again = {k for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for k in range(i, i + 5)}
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(again)
+
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = decision_list.quality_statistics(docs).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(counts(t) for _, t in texts)
+
+
+def test_decision_list_learns_a_conjunction(spark):
+    r = random.Random(3)
+    rows = [(i, float(r.randint(0, 9)), float(r.randint(0, 9))) for i in range(3000)]
+    data = spark.createDataFrame([(i, a, b, int(a >= 7 and b < 3)) for i, a, b in rows], "doc_id long, a double, b double, bad int")
+    rules = decision_list.learn(data, ["a", "b"])
+    wrong = data.filter(F.coalesce(decision_list.verdict(rules) > 0, F.lit(False)).cast("int") != F.col("bad")).count()
+    assert wrong == 0 and len(rules[0]) == 2
+    assert decision_list.learn(data.filter("bad = 0"), ["a", "b"]) == []
+
+
+def test_classifiers_on_held_out_labels(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf.replace('0.001', '0.01')}/{n}.parquet") for n in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    for judged in (site_quality.classify(docs, labels.filter(half)), decision_list.judge(docs, labels.filter(half))):
+        told = judged.join(labels.filter(~half), "doc_id")
+        right = told.filter(F.col("kept") == (F.col("quality") == 1)).count()
+        assert right >= 0.93 * told.count()
+
+
+def test_suffix_dedup(docs, texts):
+    data = [(t or "").encode() for _, t in texts]
+    seen = Counter(b[i : i + 400] for b in data for i in range(len(b) - 399))
+
+    def rest(b):
+        gone = bytearray(len(b))
+        for i in range(len(b) - 399):
+            if seen[b[i : i + 400]] > 1:
+                gone[i : i + 400] = b"\1" * 400
+        return bytes(x for x, g in zip(b, gone) if not g), sum(gone), len(bytes(gone).replace(b"\0", b" ").split())
+
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert sorted((bytes(r["kept"]), r["n_removed"], r["n_spans"]) for r in got) == sorted(map(rest, data))
+
+
+def test_large_anchor_groups_are_counted(docs, monkeypatch):
+    plain = sorted(map(tuple, suffix_dedup.remove_repeats(docs).select("n_removed", F.sha2("kept", 256)).collect()))
+    monkeypatch.setattr(suffix_dedup, "SORTED", 1)
+    assert plain == sorted(map(tuple, suffix_dedup.remove_repeats(docs).select("n_removed", F.sha2("kept", 256)).collect()))
+
+
+def test_suffix_order():
+    r = random.Random(1)
+    parts = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 30))) for _ in range(60)] + [b"", b"abab" * 9]
+    order, shared = suffix_dedup.sort_suffixes(parts)
+    assert [parts[i] for i in order] == sorted(parts)
+    for k, (i, j) in enumerate(zip(order, order[1:]), 1):
+        n = shared[k]
+        assert parts[i][:n] == parts[j][:n] and parts[i][n : n + 1] != parts[j][n : n + 1] or parts[i] == parts[j]
+
+
+def test_repair_round_trip():
+    r = np.random.default_rng(4)
+    for size in (0, 1, 2, 5000):
+        ids = r.integers(0, 5, size)
+        ends = np.sort(np.append(r.integers(0, size + 1, 7), size))
+        symbols, doc_symbols, rules, lengths = repair_ids.compress(ids, ends, 5)
+        row = {
+            "width": 4, "terminals": 5, "symbols": symbols.astype("<u4").tobytes(), "doc_symbols": doc_symbols.astype("<u4").tobytes(),
+            "rules": rules.astype("<u4").tobytes(), "lengths": lengths.astype("<u4").tobytes(),
+            "doc_ids": np.arange(len(ends)).astype("<i8").tobytes(), "null_docs": b"",
+        }
+        shard = repair_ids.Shard(row)
+        starts = np.concatenate([[0], ends[:-1]])
+        for i, (doc, found) in enumerate(shard.docs()):
+            want = ids[starts[i] : ends[i]]
+            assert found.tolist() == want.tolist() == shard.doc(i).tolist()
+            assert shard.doc(i, 3, 40).tolist() == want[3:40].tolist()
+    assert len(symbols) < 3000
+
+
+def test_token_files(spark, docs, texts):
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    plain = Tokenizer.from_str(spec)
+    plain.encode_special_tokens = True
+    path = stage_path(spark, "ids")
+    repair_ids.write_ids(docs, path, spec)
+    got = repair_ids.checksums(repair_ids.read_ids(spark, path)).orderBy("start").collect()
+    want, start = [], 0
+    for i, t in sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert [tuple(r) for r in got] == want
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    ranks = prefix_bpe.load_ranks(None, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    import tiktoken
+
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return ranks, prefix_bpe.PrefixEncoder(ranks, public_tokenizers.PATTERN), plain
+
+
+PARTS = ["a", "aaaa", " ", "  ", "\n", "\t", " ", "\x1c", "\x85", "12", "½", "!", "---", "漢字", "é", "😀", "'s", "don't", "zzqx", "<|endoftext|>", "\x00"]
+
+
+def test_bpe_matches_and_edits(encoder):
+    _, own, plain = encoder
+    r = random.Random(2)
+    for _ in range(2000):
+        text = "".join(r.choice(PARTS) for _ in range(r.randint(0, 14)))
+        ids = array("i")
+        ids.frombytes(own.ids(text))
+        assert list(ids) == plain.encode_ordinary(text)
+        made = prefix_bpe.EditableText(own, text)
+        a = r.randint(0, len(text))
+        made.edit(a, r.randint(a, len(text)), r.choice(PARTS)).append(r.choice(PARTS))
+        assert made.ids() == plain.encode_ordinary(made.text)
+
+
+def test_bpe_tables(docs, texts, none, encoder):
+    ranks, _, plain = encoder
+    got = prefix_bpe.digests(prefix_bpe.decode(prefix_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks))
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = []
+    for i, t in texts:
+        ids = plain.encode_ordinary(t or "")
+        want.append((i or 0, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode())))
+    assert sorted((r[0] or 0, *r[1:]) for r in got.collect()) == sorted(want)
+    assert prefix_bpe.decode(prefix_bpe.encode(none, ranks, public_tokenizers.PATTERN), ranks).count() == 0
+
+
+def test_shards_fit_and_equal_rows_are_counted_off(spark):
+    rows = [(i, "x" * 50) for i in range(200)] + [(999, "y" * 40)] * 30 + [(1000, "z" * 5000), (None, None)]
+    got = extendible.assign(spark.createDataFrame(rows, "doc_id long, text string"), 400).collect()
+    assert len(got) == len(rows)
+    for shard, own in ((s, [r for r in got if r["shard"] == s]) for s in {r["shard"] for r in got}):
+        assert sum(r["n_bytes"] for r in own) == own[0]["shard_bytes"], shard
+        assert own[0]["shard_bytes"] <= 400 or len(own) == 1
+    assert len({r["shard"] for r in got if r["doc_id"] == 999}) == 3
+
+
+def test_secrets(spark):
+    r = random.Random(8)
+    rows, marks = [], []
+    for i in range(400):
+        secret = i % 2
+        word = "".join(r.choice("0123456789abcdef") for _ in range(32)) if secret else "".join(r.choice("aeiotn") for _ in range(20))
+        rows.append((i, f"some plain words token = \"{word}\" and more" if secret else f"some plain words {word} and more", "src"))
+        marks.append((i, 5 if secret else 3, secret))
+    docs = spark.createDataFrame([*rows, (None, None, None), (7, rows[7][1], "src")], "doc_id long, text string, source string")
+    findings = spark.createDataFrame(marks, "doc_id long, pos int, label int")
+    got = secret_scan.scan(docs, findings.filter("doc_id < 200")).collect()
+    assert len(got) == 400 and all(x["is_secret"] == bool(x["doc_id"] % 2) for x in got)
+    assert {x["score"] for x in secret_scan.scan(docs, findings.limit(0)).collect()} == {1.0}
+
+
+def test_empty_tables(spark, none):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert line_dedup.remove_repeated_lines(none.drop("kept")).count() == 0
+    assert extendible.assign(none, 100).count() == 0
+    assert suffix_dedup.remove_repeats(none).count() == 0
+    assert ngram_join.near_classes(none).count() == 0
+    assert decision_list.judge(none, labels).count() == 0
+    assert site_quality.classify(none, labels).count() == 0
+
+
+def test_without_labels_all_are_kept(spark, docs, texts):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = site_quality.classify(docs.drop("kept"), labels)
+    assert got.filter("kept").count() == len(texts)
+    assert site_quality.keep_good(docs, labels).columns == docs.columns
