@@ -251,7 +251,8 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     sets = profiles.filter("hits is null").drop("hits")
     frequent = _order(profiles.filter("hits is not null").select("key", "hits"))
     real = sets.filter("n > 0 and doc_id is not null")
-    same = real.groupBy("n", "key", "key2").agg(F.min("doc_id").alias("b"))
+    # written first, so that the join below stands alone and a large group of copies can be split
+    same = settle(real.groupBy("n", "key", "key2").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "same")
     copies = settle(real.join(same, ["n", "key", "key2"]).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "copies")
 
     postings = settle(_postings(docs, frequent, percent), "postings")

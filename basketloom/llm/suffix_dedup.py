@@ -299,7 +299,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts stay apart; equal rows are occurrences of each other.
     """
     runs = settle(_runs(docs), "runs")
-    several = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor")
+    # written first, so that the join below stands alone and a hot anchor can be split
+    several = settle(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor"), "anchors")
     again = settle(runs.join(several, "anchor", "left_semi"), "again")
     discard(runs)
     classes = settle(
