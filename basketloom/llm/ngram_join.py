@@ -20,17 +20,21 @@ LOCAL = 4
 HELD = 1 << 22
 #: Cells of the histogram behind the suffix filter.
 CELLS = 16
+#: 64-bit words of the parity sketch behind the join condition.
+SKETCH = [f"s{i}" for i in range(8)]
 #: Members compared with one text in one task.
 CHUNK = 256
-#: Rounds that compare with one member per prefix shingle, before all remaining pairs.
-STARS = 2
+#: Members compared with per prefix shingle in each of the first rounds, before all remaining pairs.
+STARS = (1, 4)
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """Per document its set (size, 128-bit key, histogram), and per task its frequent shingles."""
+    """Per document its set (size, 128-bit key, histogram, parity sketch), and per task its frequent shingles."""
+    names = ("doc_id", "n", "key", "key2", "cells", "hits", *SKETCH)
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.int64()] * len(SKETCH))
 
     def run(batches):
-        rows: dict[str, list] = {n: [] for n in ("doc_id", "n", "key", "key2", "cells", "hits")}
+        rows: dict[str, list] = {n: [] for n in names}
         held, size, chars = [], 0, 0
 
         def put(**row):
@@ -38,10 +42,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
                 values.append(row.get(name))
 
         def flush():
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(rows.values(), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
-                names=list(rows),
-            )
+            out = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=names)
             for values in rows.values():
                 values.clear()
             return out
@@ -56,12 +57,14 @@ def _profiles(docs: DataFrame) -> DataFrame:
             have = shingles(text)
             if len(have):
                 mixed = mix(have)
+                odd = np.bincount((mixed & np.uint64(64 * len(SKETCH) - 1)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
                 put(
                     doc_id=doc_id,
                     n=len(have),
                     key=int(signed(have.sum(keepdims=True, dtype=np.uint64))[0]),
                     key2=int(signed(mixed.sum(keepdims=True, dtype=np.uint64))[0]),
                     cells=np.bincount((mixed >> np.uint64(60)).astype(np.int64), minlength=CELLS).astype("<u4").tobytes(),
+                    **dict(zip(SKETCH, np.packbits(odd.astype(bool)).view("<i8").tolist())),
                 )
                 held.append(have)
                 size += len(have)
@@ -76,7 +79,8 @@ def _profiles(docs: DataFrame) -> DataFrame:
             count()
         yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, key long, key2 long, cells binary, hits long")
+    sketch = ", ".join(f"{s} long" for s in SKETCH)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n int, key long, key2 long, cells binary, hits long, {sketch}")
 
 
 def _order(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +148,11 @@ def _postings(docs: DataFrame, counts: tuple[np.ndarray, np.ndarray], percent: i
     return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, n int, pos int")
 
 
+def _least_shared(percent: int) -> Column:
+    """The smallest intersection of a link of sets of n and m."""
+    return F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
+
+
 def _may_link(percent: int) -> Column:
     """Length and positional filter of a pair that shares a prefix shingle.
 
@@ -151,9 +160,20 @@ def _may_link(percent: int) -> Column:
     behind it must be able to reach it. It holds for the first shared shingle,
     so a pair passes if any of its shared shingles passes.
     """
-    least = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
     reach = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("pos2"))
-    return (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (reach >= least)
+    return (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (reach >= _least_shared(percent))
+
+
+def _sketches_near(percent: int) -> Column:
+    """Sketch filter: every bit in which two parity sketches differ stands for at least one element of only one set."""
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0))
+    return differ <= F.col("n") + F.col("m") - 2 * _least_shared(percent)
+
+
+def _other_side(sets: DataFrame) -> DataFrame:
+    """The sets under the names that a pair's second side has."""
+    names = {"doc_id": "b", "n": "m", "pos": "pos2", "root": "root2", "token": "token_b", "cells": "cells_b"} | {s: f"{s}_b" for s in SKETCH}
+    return sets.select(*[F.col(c).alias(names.get(c, c)) for c in sets.columns])
 
 
 def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,9 +194,31 @@ def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             keep = (n + m - differ) * (100 + percent) >= 2 * percent * (n + m)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    cells = sets.select("doc_id", "cells", "n")
-    both = pairs.join(cells.toDF("a", "cells_a", "n"), "a").join(cells.toDF("b", "cells_b", "m"), "b")
-    return both.select("a", "b", "n", "m", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
+    sets = sets.select("doc_id", "n", "cells", *SKETCH)
+    both = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(_other_side(sets), "b").filter(_sketches_near(percent))
+    return both.select("a", "b", "n", "m", "cells", "cells_b").mapInArrow(run, "a long, b long").distinct()
+
+
+def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that share a prefix shingle and pass the filters.
+
+    Per shingle the members outside its largest component meet all members, so
+    a component never meets itself at large. The filters are the join's
+    condition: a pair that fails them is no row.
+    """
+    groups = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
+    largest = groups.groupBy("token").agg(F.max(F.struct("k", "root"))["root"].alias("largest"))
+    full = settle(rest.join(sets.select("doc_id", "n", *SKETCH), ["doc_id", "n"]).join(largest, "token"), "members")
+    few = full.filter("root <> largest").drop("largest").withColumnRenamed("doc_id", "a")
+    pairs = few.join(
+        _other_side(full),
+        (F.col("token") == F.col("token_b"))
+        & (F.col("root") != F.col("root2"))
+        & ((F.col("root2") == F.col("largest")) | (F.col("root") < F.col("root2")))
+        & _may_link(percent)
+        & _sketches_near(percent),
+    )
+    return pairs.select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -236,8 +278,8 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     Returns ``links`` (a, b), enough to connect every two documents of which
     100 * intersection >= percent * union, and ``sets`` (doc_id, n), one row per
     input row. Equal sets are linked to their smallest doc_id first. Then, in
-    each round, every document of a prefix shingle is compared with one other;
-    shingles whose documents are all connected are done; last, all remaining
+    each round, every document of a prefix shingle is compared with one or a few
+    others; shingles whose documents are all connected are done; last, all remaining
     pairs from different components are compared. No link between different
     sets that matters to the components is lost, and a large group of copies
     never makes all its pairs.
@@ -251,6 +293,8 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     sets = profiles.filter("hits is null").drop("hits")
     frequent = _order(profiles.filter("hits is not null").select("key", "hits"))
     real = sets.filter("n > 0 and doc_id is not null")
+    # several rows only for a doc_id with several texts
+    one = real.dropDuplicates(["doc_id", "n", "key", "key2"])
     # written first, so that the join below stands alone and a large group of copies can be split
     same = settle(real.groupBy("n", "key", "key2").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "same")
     copies = settle(real.join(same, ["n", "key", "key2"]).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "copies")
@@ -263,7 +307,7 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     )
     discard(postings)
     links = None
-    for turn in range(STARS + 1):
+    for turn in range(len(STARS) + 1):
         if links is None:
             open_ = shared.withColumn("root", F.col("doc_id"))
         else:
@@ -278,27 +322,20 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
         if rest.isEmpty():
             discard(rest)
             break
-        if turn < STARS:
-            # first the same member for all shingles of a group, so pairs repeat; then any member per shingle
-            weight = F.xxhash64("root") if turn == 0 else F.xxhash64("doc_id", "token", F.lit(turn))
-            centre = rest.groupBy("token").agg(F.min(F.struct(weight.alias("w"), "doc_id", "root", "n", "pos")).alias("c"))
+        if turn < len(STARS):
+            # first the same member for all shingles of a group, so pairs repeat; then any members per shingle
+            weights = [F.xxhash64("root") if turn == 0 else F.xxhash64("doc_id", "token", F.lit(turn), F.lit(i)) for i in range(STARS[turn])]
+            member = F.struct("doc_id", "root", "n", "pos")
+            centres = rest.groupBy("token").agg(F.array_distinct(F.array(*[F.min_by(member, w) for w in weights])).alias("all"))
+            centre = centres.select("token", F.explode("all").alias("c"))
             pairs = rest.join(centre, "token").select(
                 F.col("doc_id").alias("a"), F.col("c.doc_id").alias("b"), "n", F.col("c.n").alias("m"), "pos",
                 F.col("c.pos").alias("pos2"), "root", F.col("c.root").alias("root2"),
-            ).filter("root <> root2")
+            ).filter((F.col("root") != F.col("root2")) & _may_link(percent))
         else:
-            groups = rest.groupBy("token", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-            others = groups.toDF("token", "root2", "lo2", "hi2")
-            meet = groups.join(others, "token").filter(
-                (F.col("root") < F.col("root2"))
-                & (F.col("hi") * 100 >= F.col("lo2") * percent)
-                & (F.col("hi2") * 100 >= F.col("lo") * percent)
-            )
-            left = rest.select("token", "root", F.col("doc_id").alias("a"), "n", "pos")
-            right = rest.select("token", F.col("root").alias("root2"), F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("pos").alias("pos2"))
-            pairs = meet.select("token", "root", "root2").join(left, ["token", "root"]).join(right, ["token", "root2"])
-        pairs = pairs.filter(_may_link(percent)).select("a", "b").distinct()
-        kept = settle(_suffix_filter(pairs, real.dropDuplicates(["doc_id"]), percent), "pairs")
+            pairs = _between(rest, one, percent)
+        pairs = pairs.select("a", "b").distinct()
+        kept = settle(_suffix_filter(pairs, one, percent), "pairs")
         discard(rest)
         fresh = _verified(kept, docs, percent)
         discard(kept)
