@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 
@@ -20,8 +22,9 @@ LOCAL = 4
 HELD = 1 << 22
 #: Cells of the histogram behind the suffix filter.
 CELLS = 16
-#: 64-bit words of the parity sketch behind the join condition.
-SKETCH = [f"s{i}" for i in range(8)]
+#: 64-bit words of the parity sketch of a set, and of the one folded from it for the join condition.
+SKETCH = [f"s{i}" for i in range(16)]
+FOLDED = [f"f{i}" for i in range(4)]
 #: Members compared with one text in one task.
 CHUNK = 256
 #: Members compared with per prefix shingle in each of the first rounds, before all remaining pairs.
@@ -164,15 +167,21 @@ def _may_link(percent: int) -> Column:
     return (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (reach >= _least_shared(percent))
 
 
-def _sketches_near(percent: int) -> Column:
+def _folded() -> list[Column]:
+    """Folding a parity sketch by XOR gives the sketch of fewer bits."""
+    fold = lambda a, b: a.bitwiseXOR(b)
+    return [reduce(fold, map(F.col, SKETCH[i :: len(FOLDED)])).alias(name) for i, name in enumerate(FOLDED)]
+
+
+def _sketches_near(percent: int, sketch: list[str]) -> Column:
     """Sketch filter: every bit in which two parity sketches differ stands for at least one element of only one set."""
-    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0))
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_b"))) for s in sketch), F.lit(0))
     return differ <= F.col("n") + F.col("m") - 2 * _least_shared(percent)
 
 
 def _other_side(sets: DataFrame) -> DataFrame:
     """The sets under the names that a pair's second side has."""
-    names = {"doc_id": "b", "n": "m", "pos": "pos2", "root": "root2", "token": "token_b", "cells": "cells_b"} | {s: f"{s}_b" for s in SKETCH}
+    names = {"doc_id": "b", "n": "m", "pos": "pos2", "root": "root2", "token": "token_b", "cells": "cells_b"} | {s: f"{s}_b" for s in SKETCH + FOLDED}
     return sets.select(*[F.col(c).alias(names.get(c, c)) for c in sets.columns])
 
 
@@ -195,7 +204,7 @@ def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     sets = sets.select("doc_id", "n", "cells", *SKETCH)
-    both = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(_other_side(sets), "b").filter(_sketches_near(percent))
+    both = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(_other_side(sets), "b").filter(_sketches_near(percent, SKETCH))
     return both.select("a", "b", "n", "m", "cells", "cells_b").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -208,7 +217,7 @@ def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     groups = rest.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = groups.groupBy("token").agg(F.max(F.struct("k", "root"))["root"].alias("largest"))
-    full = settle(rest.join(sets.select("doc_id", "n", *SKETCH), ["doc_id", "n"]).join(largest, "token"), "members")
+    full = settle(rest.join(sets.select("doc_id", "n", *_folded()), ["doc_id", "n"]).join(largest, "token"), "members")
     few = full.filter("root <> largest").drop("largest").withColumnRenamed("doc_id", "a")
     pairs = few.join(
         _other_side(full),
@@ -216,7 +225,7 @@ def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         & (F.col("root") != F.col("root2"))
         & ((F.col("root2") == F.col("largest")) | (F.col("root") < F.col("root2")))
         & _may_link(percent)
-        & _sketches_near(percent),
+        & _sketches_near(percent, FOLDED),
     )
     return pairs.select("a", "b")
 
@@ -300,27 +309,27 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     copies = settle(real.join(same, ["n", "key", "key2"]).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "copies")
 
     postings = settle(_postings(docs, frequent, percent), "postings")
-    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    # the smaller set of a link has a shared shingle so early that sets of its own size could link
+    early = F.col("n") - F.col("pos") >= F.ceil(F.col("n") * 2 * percent / (100 + percent) - 1e-9)
+    counted = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max(early).alias("early"))
+    several = counted.filter("k > 1 and early").select("token")
     shared = settle(
         postings.join(several, "token", "left_semi").join(copies.select(F.col("a").alias("doc_id")), "doc_id", "left_anti"),
         "shared",
     )
     discard(postings)
-    links = None
+    links, rest = None, shared.withColumn("root", F.col("doc_id"))
     for turn in range(len(STARS) + 1):
-        if links is None:
-            open_ = shared.withColumn("root", F.col("doc_id"))
-        else:
+        if links is not None:
+            # a shingle whose documents are connected stays so
             found = components(links)
-            open_ = shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+            open_ = rest.drop("root").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
                 "root", F.coalesce("root", "doc_id")
             )
-        split = open_.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
-        rest = settle(open_.join(split.select("token"), "token", "left_semi"), "open")
-        if links is not None:
-            discard(found)
+            split = open_.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
+            before, rest = rest, settle(open_.join(split.select("token"), "token", "left_semi"), "open")
+            discard(found, before)
         if rest.isEmpty():
-            discard(rest)
             break
         if turn < len(STARS):
             # first the same member for all shingles of a group, so pairs repeat; then any members per shingle
@@ -336,11 +345,10 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
             pairs = _between(rest, one, percent)
         pairs = pairs.select("a", "b").distinct()
         kept = settle(_suffix_filter(pairs, one, percent), "pairs")
-        discard(rest)
         fresh = _verified(kept, docs, percent)
         discard(kept)
         links = fresh if links is None else links.unionByName(fresh)
-    discard(shared)
+    discard(rest)
     every = copies if links is None else links.unionByName(copies)
     return every, sets.select("doc_id", "n")
 
