@@ -59,7 +59,12 @@ def thresholds(rows: DataFrame, features: list[str], label: str) -> dict[str, li
 
 
 def bin_of(value: Column, cuts: list[float]) -> Column:
-    """How many thresholds lie below or at the value."""
+    """How many thresholds lie below or at the value.
+
+    The value is bound by a lambda of its own, so that the planner cannot move
+    its expression, which may split a whole text, into the loop over thresholds.
+    """
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= value))
+    limits = F.array(*[F.lit(float(c)) for c in cuts])
+    return F.get(F.transform(F.array(value), lambda v: F.size(F.filter(limits, lambda c: c <= v))), F.lit(0))
