@@ -32,11 +32,15 @@ class Model:
         self.cuts, self.ratios, self.prior = cuts, ratios, prior
 
     def evidence(self) -> Column:
-        """Sum of the log-likelihood ratios of good against bad."""
+        """Sum of the log-likelihood ratios of good against bad.
+
+        Never null, and said so: for a nullable column the planner would add a
+        null test to the scan that computes all statistics once more.
+        """
         parts = [
             F.get(F.array(*[F.lit(r) for r in self.ratios[f]]), st.bin_of(F.col(f), self.cuts[f])) for f in self.cuts
         ]
-        return sum(parts[1:], parts[0]) if parts else F.lit(0.0)
+        return F.coalesce(sum(parts[1:], parts[0]), F.lit(0.0)) if parts else F.lit(0.0)
 
 
 def _logit(p: Column) -> Column:
