@@ -48,3 +48,21 @@ def components(links: DataFrame) -> DataFrame:
         kind = links.schema["a"].dataType.simpleString()
         return links.sparkSession.createDataFrame([], f"node {kind}, root {kind}")
     return members
+
+
+def extended(found: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(node, root) of the links behind ``found`` and the ``fresh`` ones (a, b).
+
+    Fresh links are renamed to the roots they join, so links that are known to
+    connect are not contracted again. ``found`` may be deleted afterwards.
+    """
+    named = fresh
+    for end in ("a", "b"):
+        own = found.select(F.col("node").alias(end), F.col("root").alias("__root"))
+        named = named.join(own, end, "left").withColumn(end, F.coalesce("__root", end)).select("a", "b")
+    top = components(named)
+    step = top.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = found.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    out = settle(moved.unionByName(top.join(found.select("node"), "node", "left_anti")), "members")
+    discard(top)
+    return out

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.llm.components import components
+from basketloom.llm.components import components, extended
 from basketloom.llm.hashing import mix, shingles, signed, text_rows
 from basketloom.sources.stage import discard, settle
 
@@ -298,6 +298,13 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     wherever one of its texts is. Null or blank texts have empty sets and link
     with nothing.
     """
+    links, sets, roots = _linked(docs, percent)
+    discard(roots)
+    return links, sets
+
+
+def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The links and sets of :func:`near_links`, and the roots of the links."""
     profiles = settle(_profiles(docs), "profiles")
     sets = profiles.filter("hits is null").drop("hits")
     frequent = _order(profiles.filter("hits is not null").select("key", "hits"))
@@ -318,17 +325,16 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
         "shared",
     )
     discard(postings)
-    links, rest = None, shared.withColumn("root", F.col("doc_id"))
+    links, found, rest = None, None, shared.withColumn("root", F.col("doc_id"))
     for turn in range(len(STARS) + 1):
         if links is not None:
             # a shingle whose documents are connected stays so
-            found = components(links)
             open_ = rest.drop("root").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
                 "root", F.coalesce("root", "doc_id")
             )
             split = open_.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
             before, rest = rest, settle(open_.join(split.select("token"), "token", "left_semi"), "open")
-            discard(found, before)
+            discard(before)
         if rest.isEmpty():
             break
         if turn < len(STARS):
@@ -347,10 +353,18 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
         kept = settle(_suffix_filter(pairs, one, percent), "pairs")
         fresh = _verified(kept, docs, percent)
         discard(kept)
-        links = fresh if links is None else links.unionByName(fresh)
+        if links is None:
+            links, found = fresh, components(fresh)
+        else:
+            old, found = found, extended(found, fresh)
+            links = links.unionByName(fresh)
+            discard(old)
     discard(rest)
-    every = copies if links is None else links.unionByName(copies)
-    return every, sets.select("doc_id", "n")
+    if links is None:
+        return copies, sets.select("doc_id", "n"), components(copies)
+    roots = extended(found, copies)
+    discard(found)
+    return links.unionByName(copies), sets.select("doc_id", "n"), roots
 
 
 def near_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -361,8 +375,7 @@ def near_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
     :func:`near_links` for nulls, blanks, ties and repeated rows; a row without
     doc_id has component_id null.
     """
-    links, sets = near_links(docs, percent)
-    roots = components(links)
+    links, sets, roots = _linked(docs, percent)
     least = roots.groupBy("root").agg(F.min("node").alias("component_id"))
     named = roots.join(least, "root").select(F.col("node").alias("doc_id"), "component_id")
     ends = links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
