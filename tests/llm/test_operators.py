@@ -73,6 +73,15 @@ def test_components_of_a_path_and_a_star(spark):
     assert len({roots[i] for i in range(41)}) == 1 and len({roots[i] for i in range(100, 160)}) == 1 and len(roots) == 101
 
 
+def test_fresh_links_extend_components(spark):
+    known = components.components(spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "a long, b long"))
+    fresh = spark.createDataFrame([(2, 3), (6, 7), (8, 9), (1, 4), (None, 5)], "a long, b long")
+    groups = defaultdict(set)
+    for r in components.extended(known, fresh).collect():
+        groups[r["root"]].add(r["node"])
+    assert sorted(map(sorted, groups.values())) == [[1, 2, 3, 4], [5, 6, 7], [8, 9]]
+
+
 def shingle_set(text):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
