@@ -27,6 +27,12 @@ SKETCH = [f"s{i}" for i in range(16)]
 FOLDED = [f"f{i}" for i in range(4)]
 #: Members compared with one text in one task.
 CHUNK = 256
+#: Sets of a component, and their shingles, that a task which counts links holds per side, about.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+#: Shingles compared at once there.
+WIDTH = 4096
+#: What names a distinct set.
+SET = ["n", "key", "key2"]
 #: Members compared with per prefix shingle in each of the first rounds, before all remaining pairs.
 STARS = (1, 4)
 
@@ -300,7 +306,7 @@ def near_links(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame
     """
     links, sets, roots = _linked(docs, percent)
     discard(roots)
-    return links, sets
+    return links, sets.select("doc_id", "n")
 
 
 def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -320,10 +326,10 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFr
     early = F.col("n") - F.col("pos") >= F.ceil(F.col("n") * 2 * percent / (100 + percent) - 1e-9)
     counted = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max(early).alias("early"))
     several = counted.filter("k > 1 and early").select("token")
-    shared = settle(
-        postings.join(several, "token", "left_semi").join(copies.select(F.col("a").alias("doc_id")), "doc_id", "left_anti"),
-        "shared",
-    )
+    # a copy needs no shingles of its own, unless its doc_id has other texts too
+    lone = one.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k = 1").select("doc_id")
+    spared = copies.select(F.col("a").alias("doc_id")).join(lone, "doc_id", "left_semi")
+    shared = settle(postings.join(several, "token", "left_semi").join(spared, "doc_id", "left_anti"), "shared")
     discard(postings)
     links, found, rest = None, None, shared.withColumn("root", F.col("doc_id"))
     for turn in range(len(STARS) + 1):
@@ -361,32 +367,151 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFr
             discard(old)
     discard(rest)
     if links is None:
-        return copies, sets.select("doc_id", "n"), components(copies)
+        return copies, sets.select("doc_id", *SET), components(copies)
     roots = extended(found, copies)
     discard(found)
-    return links.unionByName(copies), sets.select("doc_id", "n"), roots
+    return links.unionByName(copies), sets.select("doc_id", *SET), roots
+
+
+def _near(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of ``left`` link with which of ``right``, by exact intersections."""
+    sizes = np.array([len(h) for h in left + right], np.int64)
+    _, token, times = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    keep = times[token] > 1
+    owner, token = np.repeat(np.arange(len(sizes)), sizes)[keep], np.cumsum(times > 1)[token[keep]] - 1
+    at = np.argsort(token, kind="stable")
+    owner, token = owner[at], token[at]
+    same, k = np.zeros((len(left), len(right)), np.int64), len(left)
+    for start in range(0, int(token[-1]) + 1 if len(token) else 0, WIDTH):
+        part = slice(*np.searchsorted(token, [start, start + WIDTH]))
+        have = np.zeros((len(sizes), min(WIDTH, int(token[-1]) + 1 - start)), np.float32)
+        have[owner[part], token[part] - start] = 1
+        same += (have[:k] @ have[k:].T).astype(np.int64)
+    return (same > 0) & (100 * same >= percent * (sizes[:k, None] + sizes[None, k:] - same))
+
+
+def _partners(docs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """(n, key, key2, links, n_b, key_b, key2_b): the links of every distinct set with others, as sums of their weights.
+
+    Linked sets are in one component, so every two sets of a component are
+    compared. A component is dealt in blocks, and each two blocks meet in a
+    task, which gives one row per set. Only a link with a set of a document of
+    several texts is a row of its own, with the other set's name.
+    """
+    names = (*SET, "links", *(f"{c}_b" for c in SET))
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+
+    def compared(group):
+        sides = [[m for m in group.values() if m[0] == b] for b in sorted({m[0] for m in group.values()})]
+        left, right = sides[0], sides[-1]
+        near = _near([m[4] for m in left], [m[4] for m in right], percent)
+        if left is right:
+            np.fill_diagonal(near, False)
+        for a, b, link in ((left, right, near), (right, left, near.T)) if left is not right else ((left, right, near),):
+            for m, total in zip(a, (link @ np.array([x[2] for x in b], np.int64)).tolist()):
+                yield (*m[1], total, None, None, None)
+            marked = link & (np.array([m[3] for m in a], bool)[:, None] | np.array([m[3] for m in b], bool)[None])
+            for i, j in np.argwhere(marked).tolist():
+                yield (*a[i][1], 0, *b[j][1])
 
+    def run(batches):
+        place, group, out = None, {}, []
 
-def near_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for every row of ``docs``.
+        def flush():
+            # two blocks of which one is empty have nothing to compare
+            if place and (place[1] == place[2] or len({m[0] for m in group.values()}) == 2):
+                out.extend(compared(group))
+
+        def packed():
+            columns = zip(*out) if out else [[]] * len(names)
+            batch = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=list(names))
+            out.clear()
+            return batch
 
-    component_id is the smallest doc_id reachable by links, itself included;
-    n_links counts the links on record, which join the component. See
-    :func:`near_links` for nulls, blanks, ties and repeated rows; a row without
-    doc_id has component_id null.
+        for batch in batches:
+            for *here, block, n, key, key2, weight, several, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if here != place:
+                    flush()
+                    place, group = here, {}
+                have = shingles(text)
+                sums = [int(signed(x.sum(keepdims=True, dtype=np.uint64))[0]) for x in (have, mix(have))] if len(have) else None
+                # another text of the same doc_id is another set
+                if len(have) == n and sums == [key, key2]:
+                    group[n, key, key2] = (block, (n, key, key2), weight, several, have)
+            if len(out) >= 10_000:
+                yield packed()
+        flush()
+        yield packed()
+
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    sizes = own.groupBy("root").agg(F.count(F.lit(1)).alias("k"), blocks).filter("k > 1").drop("k")
+    placed = own.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("key", "key2"), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = settle(
+        pairs.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *SET, "weight", "several", "doc_id"),
+        "asked",
+    )
+    dealt = asked.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    counts = settle(dealt.mapInArrow(run, "n int, key long, key2 long, links long, n_b int, key_b long, key2_b long"), "partners")
+    discard(asked)
+    return counts
+
+
+def _link_counts(docs: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n_links) of all documents that link: with how many other doc_ids.
+
+    Sets count with the number of their documents of one text. The few
+    documents of several texts are counted by doc_id, so that one that links
+    with two texts counts once.
     """
-    links, sets, roots = _linked(docs, percent)
+    real = sets.filter("n > 0 and doc_id is not null").distinct().join(roots.withColumnRenamed("node", "doc_id"), "doc_id")
+    texts = real.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("several"))
+    members = settle(real.join(texts, "doc_id"), "members")
+    plain = F.sum((~F.col("several")).cast("long")).alias("weight")
+    own = settle(members.groupBy("root", *SET).agg(F.min("doc_id").alias("doc_id"), plain, F.max("several").alias("several")), "own")
+    rows = _partners(docs, own, percent)
+    links = rows.groupBy(*SET).agg(F.sum("links").alias("links"))
+    weights = own.select(*SET, "weight")
+    total = weights.join(links, SET, "left").select(*SET, (F.col("weight") + F.coalesce("links", F.lit(0)) - 1).alias("n_links"))
+    many = members.filter("several").select("doc_id", *SET)
+    if many.isEmpty():
+        return members.join(settle(total, "totals"), SET).select("doc_id", "n_links")
+    other = lambda df: df.select(*[F.col(c).alias(f"{c}_b") for c in SET], *[c for c in df.columns if c not in SET])
+    itself = own.filter("several").select(*SET, *[F.col(c).alias(f"{c}_b") for c in SET])
+    pairs = settle(rows.filter("n_b is not null").select(*itself.columns).unionByName(itself), "pairs")
+    key_b = [f"{c}_b" for c in SET]
+    owners = other(many.withColumnRenamed("doc_id", "other"))
+    more = pairs.join(owners, key_b).select(*SET, "other").distinct().groupBy(*SET).agg(F.count(F.lit(1)).alias("more"))
+    total = total.join(more, SET, "left").select(*SET, (F.col("n_links") + F.coalesce("more", F.lit(0))).alias("n_links"))
+    lone = members.filter("not several").join(settle(total, "totals"), SET).select("doc_id", "n_links")
+    near = settle(many.join(pairs, SET).select("doc_id", *key_b).distinct(), "near")
+    by_weight = near.join(other(weights), key_b).groupBy("doc_id").agg(F.sum("weight").alias("k"))
+    by_doc = near.join(owners, key_b).select("doc_id", "other").distinct().groupBy("doc_id").agg((F.count(F.lit(1)) - 1).alias("k"))
+    return lone.unionByName(by_weight.unionByName(by_doc).groupBy("doc_id").agg(F.sum("k").alias("n_links")))
+
+
+def _named(sets: DataFrame, roots: DataFrame) -> DataFrame:
     least = roots.groupBy("root").agg(F.min("node").alias("component_id"))
     named = roots.join(least, "root").select(F.col("node").alias("doc_id"), "component_id")
-    ends = links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
-    degree = ends.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
-    return (
-        sets.join(named, "doc_id", "left")
-        .join(degree, "doc_id", "left")
-        .select(
-            "doc_id",
-            F.col("n").cast("long").alias("n_shingles"),
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        )
+    return sets.join(named, "doc_id", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``: :func:`near_classes` without counting links."""
+    _, sets, roots = _linked(docs, percent)
+    return _named(sets, roots)
+
+
+def near_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row of ``docs``.
+
+    component_id is the smallest doc_id reachable by links, itself included;
+    n_links counts the other doc_ids that link with this one, copies included.
+    See :func:`near_links` for nulls, blanks, ties and repeated rows; a row
+    without doc_id has component_id null and no links.
+    """
+    _, sets, roots = _linked(docs, percent)
+    counts = _link_counts(docs, sets, roots, percent)
+    return _named(sets, roots).join(counts, "doc_id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))

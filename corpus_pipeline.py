@@ -25,7 +25,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the lowest doc_id stays."""
-    gone = ngram_join.near_classes(docs, PERCENT).filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = ngram_join.near_components(docs, PERCENT).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(settle(gone, "copies"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -109,6 +109,23 @@ def test_near_classes(docs, texts):
     assert {find(i) for i in (1, 2, 3)} == {1} and find(8) == 7
 
 
+def test_every_link_between_different_texts_counts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    base, other = prose(60, 150).split(), prose(61, 90).split()
+    rows = [(k, " ".join([*base[:k], f"changed{k}", *base[k + 1 :]])) for k in range(40)] + [(100 + k, " ".join(base)) for k in range(5)]
+    # a chain in which only neighbours link, a lone text, a doc_id of two texts of which one is a copy
+    rows += [(200 + k, " ".join(other[6 * k : 6 * k + 60])) for k in range(6)] + [(300, prose(62, 50))]
+    rows += [(250, prose(63, 80)), (251, prose(63, 80)), (251, prose(64, 80)), (252, prose(64, 80) + " end"), (251, prose(63, 80) + " end"), (None, " ".join(base))]
+    sets = defaultdict(list)
+    for i, t in rows:
+        sets[i].append(shingle_set(t))
+    link = lambda a, b: any(100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b])
+    want = {a: 0 if a is None else sum(a != b and b is not None and link(a, b) for b in sets) for a in sets}
+    got = ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == want and want[100] == 44 and len(got) == len(rows)
+    assert want[251] == 2 and {r["component_id"] for r in got if r["doc_id"] in (250, 251, 252)} == {250}
+
+
 def test_shingles_match_words():
     for text in ("a b c d e f", "A b\tc d  e f ", "é é é", "", None, "\x00 b"):
         assert len(hashing.shingles(text)) == len(shingle_set(text))
