@@ -17,8 +17,8 @@ NAMES = r"(?i)(key|token|secret|passw|passwd|pwd|credential|auth|api)"
 #: The name of a credential and its sign of assignment, at the end of what stands before a run.
 NAMED_AT_END = NAMES + r"[A-Za-z0-9_\-]*[\"'`]?[=:][\"'`]?$"
 PROVIDERS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9\-]{10,})$"
-#: Trigrams of a-z are at most 26 ** 3; one is in the dictionary from this many neighbouring words on.
-COMMON = 5
+#: Trigrams of a-z; one is in the dictionary if it has at least the share that all would have in random letters.
+TRIGRAMS = 26**3
 #: Labelled findings that train the forest: the lowest hashes, at most so many.
 MAX_FINDINGS = 200_000
 FEATURES = [
@@ -67,19 +67,31 @@ def candidates(docs: DataFrame) -> DataFrame:
     return each.select("*", F.when(named != "", named).otherwise(F.col("__run")).alias("finding")).drop("__run").distinct()
 
 
-def with_features(found: DataFrame) -> DataFrame:
+def _grams(c: Column) -> Column:
+    """All trigrams of letters a-z, in lower case."""
+    return F.regexp_extract_all(F.lower(c), F.lit("(?=([a-z]{3}))"), F.lit(1))
+
+
+def dictionary(docs: DataFrame) -> DataFrame:
+    """(g, hit): the trigrams that are more frequent in all words of all documents than in random letters.
+
+    A share, so more documents of the same kind have the same dictionary. Equal
+    words are counted first; at most TRIGRAMS rows remain.
+    """
+    words = docs.select(t.words(F.col("text")).alias("__w")).select(F.explode_outer("__w").alias("w")).filter("w is not null")
+    each = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select("n", F.explode_outer(_grams(F.col("w"))).alias("g")).filter("g is not null")
+    counts = settle(each.groupBy("g").agg(F.sum("n").alias("n")), "trigrams")
+    return counts.filter(F.col("n") * TRIGRAMS >= counts.agg(F.sum("n").alias("n")).select("n").scalar()).select("g", F.lit(1.0).alias("hit"))
+
+
+def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
     """The features of the forest, as doubles.
 
-    ``coverage`` is the share of the finding's letter trigrams that are common
-    in the words around all candidates; ``path_rate`` the share of the
-    candidates of a source that look random, both counted over all rows.
+    ``coverage`` is the share of the finding's letter trigrams that are in the
+    dictionary ``known`` of :func:`dictionary`; ``path_rate`` the share of the
+    candidates of a source that look random, counted over all rows.
     """
-    grams = lambda c: F.filter(
-        F.transform(t.positions(F.length(c) - 2), lambda i: F.lower(F.substring(c, i + 1, F.lit(3)))), lambda g: g.rlike("^[a-z]{3}$")
-    )
-    around = found.select(F.explode_outer("near").alias("w")).select(F.explode_outer(grams(F.col("w"))).alias("g")).filter("g is not null")
-    known = settle(around.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON).select("g", F.lit(1.0).alias("hit")), "trigrams")
-    parts = found.select(*KEYS, F.explode_outer(grams(F.col("finding"))).alias("g"))
+    parts = found.select(*KEYS, F.explode_outer(_grams(F.col("finding"))).alias("g"))
     total = F.greatest(F.length("finding") - 2, F.lit(1))
     covered = parts.join(known, "g", "left").groupBy(*KEYS).agg(F.sum("hit").alias("hits"))
     same = [F.col("doc_id").eqNullSafe(F.col("__d")), F.col("version") == F.col("__v"), F.col("pos") == F.col("__p"), F.col("run") == F.col("__n")]
@@ -128,7 +140,7 @@ def scan(docs: DataFrame, findings: DataFrame, trees: int = 32, depth: int = 6,
     or 1. Documents need doc_id, text, source; repeated rows count once, null
     doc_ids are scanned but never trained on, empty tables give no rows.
     """
-    rows = settle(with_features(settle(candidates(docs), "candidates")), "features")
+    rows = settle(with_features(settle(candidates(docs), "candidates"), dictionary(docs)), "features")
     findings = findings if "run" in findings.columns else findings.withColumn("run", F.lit(0))
     marks = findings.filter("label is not null").groupBy("doc_id", "pos", "run").agg(F.max("label").cast("double").alias("label"))
     train = rows.join(marks, ["doc_id", "pos", "run"]).orderBy(F.xxhash64("doc_id", "pos", "run", "version"), "doc_id", "pos", "run").limit(MAX_FINDINGS)
@@ -147,4 +159,4 @@ def scan(docs: DataFrame, findings: DataFrame, trees: int = 32, depth: int = 6,
 def reviewed(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Findings of the labelled documents, labelled by :func:`sure_label`: stands in for human review."""
     own = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    return with_features(settle(candidates(own), "reviewed")).select("doc_id", "pos", "run", sure_label().alias("label"))
+    return with_features(settle(candidates(own), "reviewed"), dictionary(docs)).select("doc_id", "pos", "run", sure_label().alias("label"))

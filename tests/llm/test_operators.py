@@ -331,6 +331,18 @@ def test_every_run_of_a_word_is_a_candidate(spark):
     assert {(x["doc_id"], x["run"]) for x in labels} == {(1, 1), (2, 1), (2, 3)}
 
 
+def test_dictionary_is_a_share_of_all_words(spark):
+    r = random.Random(9)
+    common = ["straightforward", "internationally", "notwithstanding", "the", "which", "their"]
+    noise = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20))
+    rows = [(k, " ".join([*r.choices(common, k=300), noise()]), "a") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    known = {x["g"] for x in secret_scan.dictionary(docs).collect()}
+    assert known == {w[i : i + 3] for w in common for i in range(len(w) - 2)}
+    many = docs.crossJoin(spark.range(20)).drop("id")
+    assert {x["g"] for x in secret_scan.dictionary(many).collect()} == known
+
+
 def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert line_dedup.remove_repeated_lines(none.drop("kept")).count() == 0
