@@ -17,6 +17,13 @@ NAMES = r"(?i)(key|token|secret|passw|passwd|pwd|credential|auth|api)"
 #: The name of a credential and its sign of assignment, at the end of what stands before a run.
 NAMED_AT_END = NAMES + r"[A-Za-z0-9_\-]*[\"'`]?[=:][\"'`]?$"
 PROVIDERS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9\-]{10,})$"
+#: Shapes of mixed letters and digits that are no secret unless a name says so: UUIDs, hex hashes, paths of plain words and short numbers.
+UUID = r"(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
+HASH = r"^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})$"
+SEGMENT = r"([A-Za-z]?[a-z]+([_\-][a-z]+)*[0-9]{0,4}|[0-9]{1,4})"
+PATH = rf"^/*({SEGMENT}/+)+({SEGMENT})?$"
+#: A value is no secret if it stands, unnamed, between so many different neighbours; copies of a text have the same ones.
+PLACES = 5
 #: Trigrams of a-z; one is in the dictionary if it has at least the share that all would have in random letters.
 TRIGRAMS = 26**3
 #: Labelled findings that train the forest: the lowest hashes, at most so many.
@@ -120,13 +127,19 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def sure_label() -> Column:
-    """1 for findings in a provider's format or a named assignment of mixed letters and
-    digits, 0 for plain words and plain numbers, null for what needs the forest."""
+    """The label of a finding that its format and place decide, null for what needs the forest.
+
+    1 for a provider's format or a named assignment of mixed letters and
+    digits. 0, if no name stands before, for plain words and numbers, UUIDs,
+    hashes, paths, and values in ``places`` different neighbourhoods. A named
+    assignment of letters or digits alone stays open: it may be a passphrase.
+    """
     value = F.col("finding")
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return F.when(value.rlike(PROVIDERS) | (mixed & ((F.col("named_inside") == 1) | ((F.col("named_before") == 1) & (F.col("assigned") == 1)))), 1.0).when(
-        ~mixed, 0.0
-    )
+    named = (F.col("named_inside") == 1) | ((F.col("named_before") == 1) & (F.col("assigned") == 1))
+    unnamed = (F.col("named_inside") == 0) & (F.col("named_before") == 0) & (F.col("name_far") == 0)
+    ordinary = value.rlike(UUID) | value.rlike(HASH) | value.rlike(PATH) | (F.col("places") >= PLACES)
+    return F.when(value.rlike(PROVIDERS) | (mixed & named), 1.0).when(~mixed & ~named, 0.0).when(mixed & unnamed & ordinary, 0.0)
 
 
 def scan(docs: DataFrame, findings: DataFrame, trees: int = 32, depth: int = 6, least: float = 0.5) -> DataFrame:
@@ -159,4 +172,9 @@ def scan(docs: DataFrame, findings: DataFrame, trees: int = 32, depth: int = 6,
 def reviewed(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Findings of the labelled documents, labelled by :func:`sure_label`: stands in for human review."""
     own = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    return with_features(settle(candidates(own), "reviewed"), dictionary(docs)).select("doc_id", "pos", "run", sure_label().alias("label"))
+    rows = settle(with_features(settle(candidates(own), "reviewed"), dictionary(docs)), "reviewed-features")
+    # counted over neighbourhoods first, so a value of many copies is combined before the shuffle
+    around = rows.select("finding", F.xxhash64("near").alias("at")).distinct()
+    often = settle(around.groupBy(F.col("finding").alias("__f")).agg(F.count(F.lit(1)).alias("places")).filter(F.col("places") >= PLACES), "places")
+    placed = rows.join(often, F.col("finding") == F.col("__f"), "left").withColumn("places", F.coalesce("places", F.lit(1)))
+    return placed.select("doc_id", "pos", "run", sure_label().alias("label"))

@@ -343,6 +343,24 @@ def test_dictionary_is_a_share_of_all_words(spark):
     assert {x["g"] for x in secret_scan.dictionary(many).collect()} == known
 
 
+def test_mixed_negatives_train_the_forest(spark):
+    r = random.Random(10)
+    hex_ = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n - 1)) + r.choice("abcdef")
+    uuid = lambda: "-".join(hex_(n) for n in (8, 4, 4, 4, 12))
+    kinds = [
+        lambda: f"our commit {hex_(40)} was merged", lambda: f"the row {uuid()} was written", lambda: f"open home/build{r.randint(1, 99)}/output/logs now",
+        lambda: f"set token = \"{hex_(40)}\" there", lambda: f"set api_key={hex_(32)} there",
+    ]
+    rows = [(k, kinds[k % 5](), "src") for k in range(300)]
+    rows += [(300 + k, f"{prose(k, 3)} Build20261201Nightly7 {prose(k, 2)}", "src") for k in range(12)] + [(400, 'password = "CorrectHorseBatteryStaple"', "src")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    marks = secret_scan.reviewed(docs, docs.filter("doc_id < 150 or doc_id >= 300").select("doc_id"))
+    label = {x["doc_id"]: x["label"] for x in marks.collect()}
+    assert all(label[k] == float(k % 5 > 2) for k in range(150)) and all(label[300 + k] == 0 for k in range(12)) and label[400] is None
+    got = {x["doc_id"]: x["is_secret"] for x in secret_scan.scan(docs, marks).collect()}
+    assert all(got[k] == (k % 5 > 2) for k in range(150, 300))
+
+
 def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert line_dedup.remove_repeated_lines(none.drop("kept")).count() == 0
