@@ -129,13 +129,7 @@ def _stat(label, over, text):
     "outlets",
 )
 def _(spark, sf):
-    """Spark's own summary, its text turned back into numbers."""
-    text = v.outlets(spark, sf).select("latitude", "total_sales", "area").summary()
-    return text.select(
-        "summary",
-        *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("latitude", "total_sales")],
-        "area",
-    )
+    return _rounded(summaries.summary(v.outlets(spark, sf), ["latitude", "total_sales"], ["area"]))
 
 
 _POINTS = ", ".join(

@@ -35,11 +35,13 @@ def exact_percentiles(
     value: str,
     names: dict[str, float],
     task_rows: int = TASK_ROWS,
+    interpolate: bool = True,
 ) -> DataFrame:
-    """Interpolated percentiles per group, without holding a group in one task.
+    """Percentiles per group, without holding a group in one task.
 
     Equal values are counted first, then a running total of the counts tells
-    which value sits at a rank; nulls do not count.
+    which value sits at a rank; nulls do not count. Between two values the
+    percentile is interpolated, or else the lower one, as ``quantile_disc``.
     """
     counts = settle(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")),
@@ -63,7 +65,12 @@ def exact_percentiles(
         low, high = at(F.floor(place)), at(F.ceil(place))
         return low + (high - low) * F.max(place - F.floor(place))
 
-    return ranked.groupBy(*keys).agg(*[interpolated(p).alias(n) for n, p in names.items()])
+    def lower(p: float) -> Column:
+        size = F.col("__size")
+        return at(F.greatest(size - F.floor(size - size * F.lit(float(p))), F.lit(1)) - 1)
+
+    one = interpolated if interpolate else lower
+    return ranked.groupBy(*keys).agg(*[one(p).alias(n) for n, p in names.items()])
 
 
 def describe_numeric(
@@ -120,17 +127,16 @@ def summary_percentiles(
     df: DataFrame,
     columns: Sequence[str],
     percents: Sequence[float] = tuple(LONG_PERCENTS),
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """The long summary, typed: one row per column, approximate percentiles.
+    """The long summary, typed: one row per column, with percentiles that are values of the column.
 
-    The percentiles are bounded sketches that merge, so one pass is enough.
+    They are exact. With ``accuracy`` they are bounded sketches that merge, so
+    one pass is enough, and approximate beyond so many distinct values.
     """
-    shares = F.array(*[F.lit(p / 100.0) for p in percents])
     rows = []
     for c in columns:
         x = F.col(c).cast("double")
-        points = F.percentile_approx(x, shares, accuracy)
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -138,18 +144,36 @@ def summary_percentiles(
                 F.avg(x).alias("mean"),
                 F.stddev(x).alias("stddev"),
                 F.min(x).alias("min"),
-                points.alias("points"),
+                *([] if accuracy is None else [F.percentile_approx(x, F.array(*[F.lit(p / 100.0) for p in percents]), accuracy).alias("points")]),
                 F.max(x).alias("max"),
             )
         )
     table = df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
     names = [f"p{p:g}".replace(".", "_") for p in percents]
-    return table.select(
-        "column_name",
-        "count",
-        "mean",
-        "stddev",
-        "min",
-        *[F.col("points")[i].alias(n) for i, n in enumerate(names)],
-        "max",
-    )
+    if accuracy is None:
+        shares = {n: p / 100.0 for n, p in zip(names, percents)}
+        points = exact_percentiles(long_form(df, columns), ["column_name"], "value", shares, interpolate=False)
+        table = table.join(points, "column_name", "left")
+    else:
+        table = table.select("*", *[F.col("points")[i].alias(n) for i, n in enumerate(names)])
+    return table.select("column_name", "count", "mean", "stddev", "min", *names, "max")
+
+
+def summary(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """Spark's summary with exact quartiles, typed: one row per statistic.
+
+    Texts have a count, a least and a largest value.
+    """
+    table = summary_percentiles(df, numbers, (25, 50, 75))
+    stats = {"count": "count", "mean": "mean", "stddev": "stddev", "min": "min", "25%": "p25", "50%": "p50", "75%": "p75", "max": "max"}
+    all_of = F.struct(*[F.col(s).cast("double").alias(s) for s in stats.values()])
+    row = table.agg(*[F.max(F.when(F.col("column_name") == c, all_of)).alias(c) for c in numbers])
+    for c in texts:
+        parts = {"count": F.count(c).cast("string"), "min": F.min(c).cast("string"), "max": F.max(c).cast("string")}
+        row = row.withColumn(c, df.agg(F.struct(*[x.alias(n) for n, x in parts.items()]).alias("s")).select("s").scalar())
+    text = lambda c, s: F.col(c)[s] if s in ("count", "min", "max") else F.lit(None).cast("string")
+    lines = [
+        F.struct(F.lit(label).alias("summary"), *[F.col(c)[s].alias(c) for c in numbers], *[text(c, s).alias(c) for c in texts])
+        for label, s in stats.items()
+    ]
+    return row.select(F.inline(F.array(*lines)))

@@ -1,5 +1,6 @@
 """Ordered windows over a hot group: many tasks must give what one task gives."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,19 @@ def test_percentiles(rows):
     same(got.select("g", *rounded), want.select("g", *rounded))
 
 
+def test_summaries_are_exact_above_10_000_values(spark):
+    n = 60_000
+    df = spark.range(n, numPartitions=7).select((F.col("id") * 7919 % n).cast("double").alias("v"), F.lit(None).cast("int").alias("none"), F.lit("x").alias("t"))
+    got = {r["column_name"]: r for r in summaries.summary_percentiles(df, ["v", "none"]).collect()}
+    for p in summaries.LONG_PERCENTS:
+        want = duckdb.sql(f"SELECT quantile_disc(i, {p} / 100.0) FROM range({n}) t(i)").fetchall()[0][0]
+        assert got["v"][f"p{p:g}".replace(".", "_")] == want
+    assert got["none"]["count"] == 0 and got["none"]["p50"] is None
+    rows = {r["summary"]: r for r in summaries.summary(df, ["v"], ["t"]).collect()}
+    assert [rows[k]["v"] for k in ("count", "25%", "50%", "75%", "max")] == [n, n // 4 - 1, n // 2 - 1, 3 * n // 4 - 1, n - 1]
+    assert rows["count"]["t"] == str(n) and rows["50%"]["t"] is None and rows["min"]["t"] == "x"
+
+
 def test_first_last_and_top(rows):
     got = {r.id: (r.first_value, r.last_value) for r in ranking.first_last(rows, "g", "v").collect()}
     for r in rows.collect():
