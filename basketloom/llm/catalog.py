@@ -1,11 +1,14 @@
-"""The ten operators as queries over whole tables, next to SQL where it can express them."""
+"""The operators as queries over whole tables, next to SQL where it can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, secret_scan, site_quality, suffix_dedup
+from basketloom.llm import (
+    collocations, decision_list, decontaminate, extendible, line_dedup, ngram_join, prefix_bpe, repair_ids, secret_scan, site_quality,
+    source_mix, suffix_dedup, token_alignment,
+)
 from basketloom.sources.stage import stage_path
 
 QUERIES = {}
@@ -92,3 +95,24 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return token_alignment.alignment(_table(spark, sf_dir, "documents"), spec, model)
+
+
+@_query
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(_table(spark, sf_dir, "documents"))
