@@ -147,9 +147,7 @@ def rolling(spark, sf) -> DataFrame:
 
 
 def modelled(spark, sf) -> DataFrame:
-    weeks = settle(weekly(spark, sf), "weekly")
-    table = panel.rolling_feature_table(panel.weekly_base(weeks, stored=True), _C, _P)
-    return panel.model_dataset(table, panel.calendar(weeks))
+    return panel.model_table(settle(weekly(spark, sf), "weekly"), _C, _P)
 
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
@@ -284,20 +282,18 @@ def _(spark, sf):
     return totals(rolling(spark, sf), [*_FEATURES, *panel.LABELS])
 
 
-_SHOWN = ["sales_52w", "sales_26w", "orders_13w", "aov_52w", "cat_PROMO_26w_perc", "sales_26w_over_52w"]
+def table_sql(view: str) -> str:
+    """All columns of a feature table: ids and dates as they are, labels, then every feature as double."""
+    plain = "customer_id, CAST(week_end AS VARCHAR) AS week_end, CAST(min_week AS VARCHAR) AS min_week, CAST(max_week AS VARCHAR) AS max_week"
+    values = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES)
+    return f"SELECT {plain}, {', '.join(panel.LABELS)}, {values} FROM {view}"
 
 
-@query(
-    "model_dataset",
-    "SELECT customer_id, CAST(week_end AS VARCHAR) AS week_end, purchase_flag_next_4w, sales_next_4w, "
-    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SHOWN)
-    + " FROM modelled",
-    "modelled",
-)
+def whole_table(df: DataFrame) -> DataFrame:
+    return df.select(*panel.IDS, *panel.LABELS, *[F.col(c).cast("double").alias(c) for c in _FEATURES])
+
+
+@query("model_dataset", table_sql("modelled"), "modelled")
 def _(spark, sf):
-    return modelled(spark, sf).select(
-        "customer_id",
-        "week_end",
-        *panel.LABELS,
-        *[F.col(c).cast("double").alias(c) for c in _SHOWN],
-    )
+    """All features and both labels, without the panel."""
+    return whole_table(modelled(spark, sf))

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.catalog import views as v
-from basketloom.catalog.features import _FEATURES, customer_table, modelled, rolling, stored
+from basketloom.catalog.features import _FEATURES, customer_table, modelled, stored, table_sql, weekly, whole_table
 from basketloom.catalog.registry import query
 from basketloom.operators import grouping
 from basketloom.operators.checks import value_counts
-from basketloom.plans import customers, jobs, models
+from basketloom.plans import customers, jobs, models, panel
 from basketloom.sources.files import write_parquet
-from basketloom.sources.stage import stage_path
+from basketloom.sources.stage import settle, stage_path
 
 _C, _P = v.CATEGORIES, v.PAYMENTS
 _NAMES = customers.feature_names(_C, _P)
@@ -29,9 +29,6 @@ _SCALED = [
     "unique_products_bought", "orders",
 ]
 _LABEL = "purchase_flag_next_4w"
-# Smaller than the job defaults, so that the whole set of queries stays quick.
-_SMALL_FOREST = dict(numTrees=12, maxDepth=5, maxBins=32)
-_SMALL_BOOST = dict(maxDepth=3, maxIter=3, maxBins=32)
 
 
 def _customers(spark, sf) -> DataFrame:
@@ -62,12 +59,13 @@ _fits: dict = {}
 def _fitted(spark, sf, name, fit):
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _fits:
-        _fits[key] = fit(_model_rows(spark, sf).filter("is_train = 1"))
+        train = _model_rows(spark, sf).filter("is_train = 1")
+        _fits[key] = fit(models.bounded_rows(train, _LABEL, ["customer_id", "week_end"]))
     return _fits[key]
 
 
 def _forest(spark, sf):
-    return _fitted(spark, sf, "forest", lambda df: models.fit_forest(df, _LABEL, **_SMALL_FOREST))
+    return _fitted(spark, sf, "forest", lambda df: models.fit_forest(df, _LABEL))
 
 
 _FILLED = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in _NAMES)
@@ -98,14 +96,21 @@ def _(spark, sf):
     return scaled.select("customer_id", *[F.round(values[i], 12).alias(c) for i, c in enumerate(_SCALED)])
 
 
-@query("pipeline_fit_apply", _SCALED_SQL, "customer_table")
+_REST = [c for c in _NAMES if c not in _SCALED]
+
+
+@query(
+    "pipeline_fit_apply",
+    _SCALED_SQL.replace(" FROM", ", " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in _REST) + " FROM"),
+    "customer_table",
+)
 def _(spark, sf):
-    """Fit the stages, save, load and apply them; ids stay beside the vector."""
+    """Fit the stages, save, load and apply them: nine scaled elements, then the others as they are."""
     data, path = _customers(spark, sf), stage_path(spark, "stages")
     models.feature_stages(_NAMES, scale=_SCALED).fit(data).write().overwrite().save(path)
-    applied = models.load_stages(path).transform(data).select("customer_id", "features")
-    values = vector_to_array("features")
-    return applied.select("customer_id", *[F.round(values[i], 12).alias(c) for i, c in enumerate(_SCALED)])
+    applied = models.load_stages(path).transform(data).select("customer_id", vector_to_array("features").alias("a"))
+    scaled = [F.round(F.col("a")[i], 12).alias(c) for i, c in enumerate(_SCALED)]
+    return applied.select("customer_id", *scaled, *[F.col("a")[len(_SCALED) + i].alias(c) for i, c in enumerate(_REST)])
 
 
 _IS_TRAIN = "CAST(substr(md5({}), 1, 8) < 'cccccccd' AS INT)"
@@ -123,26 +128,56 @@ def _vectors(spark, sf) -> DataFrame:
     return v.vectors(spark, sf).withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
 
 
+_ITERATIONS = 10
+
+
+def _clusters_sql(points: str, key: str, k: int) -> str:
+    """(c, i, m): the centres of the same fit, from ``points`` (key, i, v) in whole millionths."""
+    steps = [
+        f"c0 AS MATERIALIZED (SELECT c, i, v AS m FROM {points} JOIN "
+        f"(SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS c FROM (SELECT DISTINCT {key} FROM {points}) ORDER BY {key} LIMIT {k}) USING ({key}))"
+    ]
+    for n in range(_ITERATIONS):
+        steps.append(f"a{n} AS MATERIALIZED ({_placed_sql(points, key, f'c{n}', k)})")
+        steps.append(
+            f"c{n + 1} AS MATERIALIZED (SELECT c, i, coalesce(CAST(floor(CAST(s AS DOUBLE) / n) AS BIGINT), m) AS m FROM c{n} LEFT JOIN "
+            f"(SELECT c, i, sum(v) AS s, count(*) AS n FROM {points} JOIN a{n} USING ({key}) GROUP BY c, i) USING (c, i))"
+        )
+    order = f"SELECT c, row_number() OVER (ORDER BY list(m ORDER BY i)) - 1 AS p FROM c{_ITERATIONS} GROUP BY c"
+    return f"WITH {', '.join(steps)} SELECT p AS c, i, m FROM c{_ITERATIONS} JOIN ({order}) USING (c)"
+
+
+def _placed_sql(points: str, key: str, centres: str, k: int) -> str:
+    distance = f"SELECT {key}, c, CAST(sum((v - m) * (v - m)) AS BIGINT) AS d FROM {points} JOIN {centres} USING (i) GROUP BY {key}, c"
+    return f"SELECT {key}, min(d * {k} + c) % {k} AS c, min(d) AS d FROM ({distance}) GROUP BY {key}"
+
+
+v.add_view(
+    "vector_points",
+    """SELECT vec_id, generate_subscripts(embedding, 1) AS i,
+       CAST(floor(CAST(unnest(embedding) AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS v FROM vectors""",
+    ["vectors"],
+)
+v.add_view("vector_clusters", _clusters_sql("vector_points", "vec_id", 10), ["vector_points"])
+v.add_view("vector_places", _placed_sql("vector_points", "vec_id", "vector_clusters", 10), ["vector_points", "vector_clusters"])
+
+
 @query(
     "kmeans_fit",
-    "SELECT count(*) AS n_rows, count(*) AS at_nearest_centre, 10 AS k, 1 AS improves_on_one_cluster FROM vectors",
-    "vectors",
+    """SELECT c AS prediction, i AS element, m / 1e6 AS centre, n_rows, sse FROM vector_clusters JOIN
+       (SELECT c, count(*) AS n_rows, round(sum(d) / 1e12, 6) AS sse FROM vector_places GROUP BY c) USING (c)""",
+    "vector_places",
 )
 def _(spark, sf):
-    """Every vector sits at its nearest centre, and ten clusters beat one."""
-    data = models.settled_input(_vectors(spark, sf), "vec_id")
-    model = models.fit_kmeans(data, 10, maxIter=100)
-    whole = models.cluster_sse(data.withColumn("one", F.lit(1)), "one").select("sse").scalar()
-    placed = model.transform(data).withColumn("nearest", models.nearest_centre(model))
-    return placed.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("nearest") == F.col("prediction"), 1)).alias("at_nearest_centre"),
-    ).select(
-        "n_rows",
-        "at_nearest_centre",
-        F.lit(len(model.clusterCenters())).alias("k"),
-        (whole > model.summary.trainingCost).cast("int").alias("improves_on_one_cluster"),
+    """Ten clusters: every element of every centre, rows and squared error of the cluster."""
+    points = settle(models.fixed_vectors(v.vectors(spark, sf), "vec_id", "embedding"), "points")
+    centres = models.exact_kmeans(points, "vec_id", 10, _ITERATIONS)
+    rows = [(i, j + 1, m / 1e6) for i, c in enumerate(centres) for j, m in enumerate(c)]
+    fitted = spark.createDataFrame(rows, "prediction int, element int, centre double")
+    sizes = models.place(points, "vec_id", centres).groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("distance"), 6).alias("sse")
     )
+    return fitted.join(sizes, "prediction")
 
 
 @query(
@@ -196,64 +231,73 @@ def _(spark, sf):
     return data.limit(1).select(F.round(F.lit(value), 6).alias("silhouette"))
 
 
+v.add_view(
+    "customer_points",
+    "SELECT customer_id, i, CAST(floor(CASE WHEN high > low THEN (x - low) / (high - low) ELSE 0.5 END * 1000000 + 0.5) AS BIGINT) AS v FROM "
+    "(SELECT *, min(x) OVER (PARTITION BY i) AS low, max(x) OVER (PARTITION BY i) AS high FROM ("
+    + " UNION ALL ".join(f"SELECT customer_id, {i} AS i, coalesce(CAST({c} AS DOUBLE), 0) AS x FROM customer_table" for i, c in enumerate(_NAMES))
+    + "))",
+    ["customer_table"],
+)
+v.add_view("customer_clusters", _clusters_sql("customer_points", "customer_id", 4), ["customer_points"])
+v.add_view("customer_places", _placed_sql("customer_points", "customer_id", "customer_clusters", 4), ["customer_points", "customer_clusters"])
+
+
 def _clustered(spark, sf) -> DataFrame:
     """Customers with a label from four clusters of their scaled features."""
 
     def build(spark, sf):
-        scaled, _ = _scaled_customers(spark, sf)
-        data = models.settled_input(scaled, "customer_id")
-        labels = models.assign_clusters(models.fit_kmeans(data, 4), data, "customer_id")
+        data = _customers(spark, sf)
+        points = settle(models.fixed_points(data, "customer_id", _NAMES), "points")
+        labels = models.place(points, "customer_id", models.exact_kmeans(points, "customer_id", 4, _ITERATIONS))
         extra = v.customer_dim(spark, sf).select("customer_id", "age", "hh_income")
-        return _customers(spark, sf).join(labels, "customer_id", "left").join(extra, "customer_id", "left")
+        return data.join(labels, "customer_id", "left").join(extra, "customer_id", "left")
 
     return stored(spark, sf, "clustered", build)
 
 
-@query(
-    "assign_clusters",
-    "SELECT count(*) AS n_rows, count(*) AS labelled, 4 AS clusters FROM customer",
-)
+@query("assign_clusters", "SELECT customer_id, c AS prediction, d / 1e6 / 1e6 AS distance FROM customer_places", "customer_places")
 def _(spark, sf):
-    data = _clustered(spark, sf)
-    return data.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("prediction").between(0, 3), 1)).alias("labelled"),
-        F.countDistinct("prediction").alias("clusters"),
-    )
+    return _clustered(spark, sf).select("customer_id", "prediction", "distance")
 
 
-@query("cluster_sizes", "SELECT 4 AS clusters, count(*) AS n_rows FROM customer")
+@query("cluster_sizes", "SELECT c AS prediction, count(*) AS n FROM customer_places GROUP BY c", "customer_places")
 def _(spark, sf):
-    sizes = value_counts(_clustered(spark, sf), "prediction")
-    return sizes.agg(F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("n_rows"))
+    return value_counts(_clustered(spark, sf), "prediction")
+
+
+_PROFILED = ["count_customer_id", *[f"mean_{c}" for c in _NAMES], "median_age", "median_hh_income"]
+v.add_view(
+    "clustered",
+    f"SELECT customer_id, {_FILLED}, age, hh_income, CAST(c AS VARCHAR) AS label FROM customer_table "
+    "JOIN customer_places USING (customer_id) JOIN (SELECT customer_id, age, hh_income FROM customer_dim) USING (customer_id)",
+    ["customer_table", "customer_places", "customer_dim"],
+)
+_CELLS = ", ".join(
+    ["CAST(count(customer_id) AS DOUBLE) AS count_customer_id", *[f"round(sum({c}) / count({c}), 6) AS mean_{c}" for c in _NAMES]]
+    + [f"round(median(CAST({c} AS DOUBLE)), 6) AS median_{c}" for c in ("age", "hh_income")]
+)
+v.add_view(
+    "cluster_rows",
+    f"SELECT label, {_CELLS} FROM clustered GROUP BY label UNION ALL SELECT 'overall', {_CELLS} FROM clustered",
+    ["clustered"],
+)
+_LABELS4 = ["0", "1", "2", "3", "overall"]
 
 
 @query(
     "cluster_profile",
-    """SELECT 'overall' AS prediction, count(*) AS count_customer_id, sum(sales) / count(*) AS mean_sales,
-       CAST(sum(qty) AS DOUBLE) / count(*) AS mean_qty, CAST(sum(orders) AS DOUBLE) / count(*) AS mean_orders,
-       median(CAST(age AS DOUBLE)) AS median_age, 5 AS profile_rows
-       FROM customer_table JOIN customer_dim USING (customer_id)""".replace(
-        "sum(sales) / count(*)", "round(sum(sales) / count(*), 4)"
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, " + ", ".join(f"max({m}) FILTER (WHERE label = '{x}') AS \"{x}\"" for x in _LABELS4) + " FROM cluster_rows"
+        for m in _PROFILED
     ),
-    "customer_table customer_dim",
+    "cluster_rows",
 )
 def _(spark, sf):
-    """Four clusters and the overall row; only the latter is the same for any fit."""
-    data = _clustered(spark, sf)
-    means = ["sales", "qty", "orders"]
-    table = grouping.profile_with_total(data, "prediction", "customer_id", means)
-    median = grouping.profile(data, "customer_id", [], ["age"]).select("median_age").scalar()
-    overall = table.filter("prediction = 'overall'")
-    return overall.select(
-        "prediction",
-        "count_customer_id",
-        F.round("avg_sales", 4).alias("mean_sales"),
-        F.col("avg_qty").alias("mean_qty"),
-        F.col("avg_orders").alias("mean_orders"),
-        median.alias("median_age"),
-        table.agg(F.count(F.lit(1))).scalar().alias("profile_rows"),
-    )
+    """Size, all means and both medians as rows; one column per cluster, and overall."""
+    table = grouping.full_profile(_clustered(spark, sf), "prediction", "customer_id", _NAMES, ["age", "hh_income"])
+    rounded = table.select("prediction", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in _PROFILED])
+    return grouping.transpose(rounded, "prediction", _LABELS4)
 
 
 _SPLIT = "substr(md5(customer_id || '|' || CAST(week_end AS VARCHAR)), 1, 8) < 'cccccccd'"
@@ -283,14 +327,14 @@ def _facts_sql(trees):
     )
 
 
-@query("random_forest_fit", _facts_sql(_SMALL_FOREST["numTrees"]), "modelled")
+@query("random_forest_fit", _facts_sql(models.FOREST["numTrees"]), "modelled")
 def _(spark, sf):
     return _fit_facts(spark, sf, _forest(spark, sf))
 
 
-@query("boosted_trees_fit", _facts_sql(_SMALL_BOOST["maxIter"]), "modelled")
+@query("boosted_trees_fit", _facts_sql(models.BOOSTED["maxIter"]), "modelled")
 def _(spark, sf):
-    model = _fitted(spark, sf, "boosted", lambda df: models.fit_boosted(df, _LABEL, **_SMALL_BOOST))
+    model = _fitted(spark, sf, "boosted", lambda df: models.fit_boosted(df, _LABEL))
     return _fit_facts(spark, sf, model)
 
 
@@ -358,20 +402,24 @@ def _(spark, sf):
     return models.accuracy(v.binary_scores(spark, sf), "label", "prediction")
 
 
+v.add_view("newest", "SELECT * FROM features WHERE week_end = (SELECT max(week_end) FROM features)", ["features"])
+
+
 @query(
     "score_latest_week",
-    """SELECT customer_id, CAST(week_end AS VARCHAR) AS week_end, 1 AS in_range FROM features
-       WHERE week_end = (SELECT max(week_end) FROM features)""",
-    "features",
+    table_sql("newest").replace(f"{', '.join(panel.LABELS)}, ", "").replace(" FROM newest", ", 1 AS in_range FROM newest"),
+    "newest",
 )
 def _(spark, sf):
-    """The batch job: saved stages and forest over the newest week."""
-    features, path = rolling(spark, sf), stage_path(spark, "latest")
-    write_parquet(features, f"{path}/features")
+    """The batch jobs: features of the newest week into its own folder, then the saved stages and forest over that folder."""
+    path = stage_path(spark, "latest")
+    write_parquet(weekly(spark, sf), f"{path}/weekly")
+    features = jobs.add_latest(spark, f"{path}/weekly", f"{path}/features")
     models.feature_stages(_FEATURES).fit(features).write().overwrite().save(f"{path}/models/stages")
     _forest(spark, sf).write().overwrite().save(f"{path}/models/forest")
     scored = jobs.score_latest(spark, f"{path}/features", f"{path}/models", f"{path}/scored")
-    return scored.select("customer_id", "week_end", F.col("score").between(0, 1).cast("int").alias("in_range"))
+    rated = scored.select("customer_id", F.col("score").between(0, 1).cast("int").alias("in_range"))
+    return whole_table(features).drop(*panel.LABELS).join(rated, "customer_id")
 
 
 @query(

@@ -40,14 +40,19 @@ def share_of_total(df: DataFrame, entity: str, part: str, amounts: Mapping[str,
     return sums.select("*", *[ratio(F.col(c), F.sum(c).over(whole)).alias(n) for c, n in amounts.items()])
 
 
+def listed(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """The rows as they are; a value of the column that is not listed is an error, null is not."""
+    name = F.col(column)
+    stray = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), name.cast("string")))
+    checked = F.when(name.isNull() | name.isin(list(values)), name).otherwise(stray.cast(df.schema[column].dataType))
+    return df.withColumn(column, checked)
+
+
 def _pivoted(df: DataFrame, key: str, column: str, values: Sequence[str] | None):
     """Without a list, Spark finds the values first; with one, any other value is an error."""
     if values is None:
         return df.groupBy(key).pivot(column)
-    name = F.col(column)
-    stray = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), name.cast("string")))
-    checked = F.when(name.isNull() | name.isin(list(values)), name).otherwise(stray.cast(df.schema[column].dataType))
-    return df.withColumn(column, checked).groupBy(key).pivot(column, list(values))
+    return listed(df, column, values).groupBy(key).pivot(column, list(values))
 
 
 def pivot_single(df: DataFrame, key: str, column: str, values: Sequence[str] | None, agg: Column) -> DataFrame:
@@ -106,6 +111,13 @@ def profile_with_total(df: DataFrame, by: str, key: str, means: Sequence[str]) -
     return rolled.withColumn(by, label).drop("__all")
 
 
+def full_profile(df: DataFrame, by: str, key: str, means: Sequence[str], medians: Sequence[str]) -> DataFrame:
+    """:func:`profile` per group, the group's label as text, and the row ``overall``."""
+    groups = profile(df, key, means, medians, by=by)
+    whole = profile(df, key, means, medians)
+    return groups.withColumn(by, F.col(by).cast("string")).unionByName(whole.withColumn(by, F.lit("overall")))
+
+
 def transpose(df: DataFrame, label: str, labels: Sequence[str]) -> DataFrame:
     """Metrics as rows, the given labels as columns."""
     metrics = [c for c in df.columns if c != label]

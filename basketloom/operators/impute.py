@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.operators.summaries import exact_percentiles
+from basketloom.operators.summaries import exact_percentiles, selected_percentiles
 from basketloom.sources.stage import settle
 
 
@@ -20,8 +20,8 @@ def fill_mean(df: DataFrame, name: str, out: str) -> DataFrame:
 
 
 def fill_median(df: DataFrame, name: str, out: str) -> DataFrame:
-    median = settle(exact_percentiles(df.select(name), [], name, {"median": 0.5}), "median")
-    return df.withColumn(out, F.coalesce(F.col(name).cast("double"), median.scalar()))
+    median = settle(selected_percentiles(df, [name], {"median": 0.5}), "median")
+    return df.withColumn(out, F.coalesce(F.col(name).cast("double"), median.select("median").scalar()))
 
 
 def fill_mode(df: DataFrame, name: str, out: str) -> DataFrame:

@@ -47,7 +47,14 @@ def exact_percentiles(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")),
         "values",
     )
-    ranked = running_totals(counts, keys, [F.col(value)], {"__upto": F.col("__n")}, task_rows)
+    return _at_ranks(counts, keys, [F.col(value)], F.col(value).cast("double"), names, task_rows, interpolate)
+
+
+def _at_ranks(
+    counts: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, names: dict[str, float], task_rows: int, interpolate: bool
+) -> DataFrame:
+    """The values at the ranks of the percentiles, from counted values (``__n``) in an order."""
+    ranked = running_totals(counts, keys, order, {"__upto": F.col("__n")}, task_rows)
     size = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     if keys:
         size = size.select(*[F.col(k).alias(f"__{k}") for k in keys], "__size")
@@ -58,7 +65,7 @@ def exact_percentiles(
 
     def at(rank: Column) -> Column:
         inside = (F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank)
-        return F.max(F.when(inside, F.col(value).cast("double")))
+        return F.max(F.when(inside, value))
 
     def interpolated(p: float) -> Column:
         place = (F.col("__size") - 1) * F.lit(float(p))
@@ -73,6 +80,55 @@ def exact_percentiles(
     return ranked.groupBy(*keys).agg(*[one(p).alias(n) for n, p in names.items()])
 
 
+#: Relative accuracy of the sketch behind :func:`selected_percentiles`; groups of no more values are counted in full.
+SKETCH = 2_000
+
+
+def selected_percentiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    names: dict[str, float],
+    by: Sequence[str] = (),
+    interpolate: bool = True,
+    sketch: int = SKETCH,
+) -> DataFrame:
+    """Exact percentiles of several columns without counting all their values: (by, column_name, names).
+
+    A sketch per group and column gives a bracket around each percentile. The
+    second pass counts the values between the brackets as wholes and keeps only
+    those inside them apart, some 8 / ``sketch`` of the rows per percentile; a
+    running total over both finds the value at a rank. The brackets are four
+    times as wide as the sketch's error; a rank that still fell outside would be
+    an error, never a wrong value. Meant for few groups; the sketches of all
+    groups are one small table. Nulls do not count; a column of nulls has no row.
+    """
+    keys = [*by, "column_name"]
+    wide = [min(max(p + d, 0.0), 1.0) for p in names.values() for d in (-4 / sketch, 4 / sketch)]
+    cells = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    ends = F.array(*[F.lit(p) for p in wide])
+    found = settle(
+        cells.groupBy(*by).agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, ends, sketch).alias("ends")).alias(f"__{c}") for c in columns]),
+        "brackets",
+    ).select(*[F.col(k).alias(f"__by_{k}") for k in by], *[f"__{c}" for c in columns])
+    if by:
+        rows = cells.join(found, [F.col(k).eqNullSafe(F.col(f"__by_{k}")) for k in by])
+    else:
+        rows = cells.select("*", *[found.select(f"__{c}").scalar().alias(f"__{c}") for c in columns])
+
+    def cell(c: str) -> Column:
+        x, n, limits = F.col(c), F.col(f"__{c}")["n"], F.col(f"__{c}")["ends"]
+        # even between two ends, odd on one of them, so cells stand in the order of the values
+        place = F.size(F.filter(limits, lambda e: e < x)) + F.size(F.filter(limits, lambda e: e <= x))
+        low, high = (F.filter(limits, lambda e, i: i % 2 == side) for side in (0, 1))  # noqa: B023
+        inside = (n <= sketch) | F.exists(F.arrays_zip(low.alias("low"), high.alias("high")), lambda b: (b["low"] <= x) & (x <= b["high"]))
+        return F.struct(F.lit(c).alias("column_name"), place.alias("__cell"), F.when(inside, x).alias("__value"), x.isNull().alias("__null"))
+
+    each = rows.select(*by, F.inline(F.array(*[cell(c) for c in columns]))).filter("not __null")
+    counts = settle(each.groupBy(*keys, "__cell", "__value").agg(F.count(F.lit(1)).alias("__n")), "cells")
+    lost = F.raise_error(F.lit("a percentile lies outside its bracket"))
+    return _at_ranks(counts, keys, [F.col("__cell"), F.col("__value")], F.coalesce("__value", F.when(F.isnull("__value"), lost)), names, TASK_ROWS, interpolate)
+
+
 def describe_numeric(
     df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -93,9 +149,7 @@ def describe_numeric(
             )
         )
     moments = df.groupBy(*by).agg(F.array(*rows).alias("r")).select(*by, F.inline("r"))
-    quartiles = exact_percentiles(
-        long_form(df, columns, by), keys, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    ).select(*[F.col(k).alias(f"__{k}") for k in keys], "p25", "p50", "p75")
+    quartiles = selected_percentiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by).select(*[F.col(k).alias(f"__{k}") for k in keys], "p25", "p50", "p75")
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     return moments.join(quartiles, same, "left").select(
         *keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
@@ -131,7 +185,7 @@ def summary_percentiles(
 ) -> DataFrame:
     """The long summary, typed: one row per column, with percentiles that are values of the column.
 
-    They are exact. With ``accuracy`` they are bounded sketches that merge, so
+    They are exact, by :func:`selected_percentiles`. With ``accuracy`` they are bounded sketches that merge, so
     one pass is enough, and approximate beyond so many distinct values.
     """
     rows = []
@@ -152,7 +206,7 @@ def summary_percentiles(
     names = [f"p{p:g}".replace(".", "_") for p in percents]
     if accuracy is None:
         shares = {n: p / 100.0 for n, p in zip(names, percents)}
-        points = exact_percentiles(long_form(df, columns), ["column_name"], "value", shares, interpolate=False)
+        points = selected_percentiles(df, columns, shares, interpolate=False)
         table = table.join(points, "column_name", "left")
     else:
         table = table.select("*", *[F.col("points")[i].alias(n) for i, n in enumerate(names)])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.operators.grouping import pivot_multi, pivot_single, ratio, share_of_total
+from basketloom.operators.grouping import listed, pivot_multi, pivot_single, ratio, share_of_total
 from basketloom.plans.enrich import cents, enrich, from_cents
 from basketloom.sources.stage import settle
 
@@ -89,7 +89,8 @@ def customer_features(
     """All features of a customer, with the flags of the customer table.
 
     The shares are conditional sums, so no feature block needs its own
-    aggregate, pivot and join.
+    aggregate, pivot and join. A category or payment type that is not listed is
+    an error.
     """
     parts = {}
     for c in categories:
@@ -98,7 +99,7 @@ def customer_features(
         parts[f"{c}_cat_units"] = (F.sum(F.when(here, F.col("qty"))), False)
     for p in payments:
         parts[f"pay_{p}"] = (F.sum(F.when(F.col("pay") == p, F.col("cents"))), True)
-    rows = _stored_rows(enrich(sales, product, payment))
+    rows = _stored_rows(listed(listed(enrich(sales, product, payment), "category", categories), "pay", payments))
     totals = _totals(rows, {n: c for n, (c, _) in parts.items()})
     features = totals.select(
         "customer_id",

@@ -1,9 +1,10 @@
 """Batch jobs: feature tables and scoring with saved models.
 
     spark-submit basketloom/plans/jobs.py score-clusters FEATURES MODELS OUT
+    spark-submit basketloom/plans/jobs.py add-latest WEEKLY FEATURES
     spark-submit basketloom/plans/jobs.py score-latest FEATURES MODELS OUT
 
-Both start from any folder.
+All start from any folder.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketloom.operators.summaries import numeric_columns
 from basketloom.plans.models import assign_clusters, with_score
-from basketloom.sources.files import write_parquet
+from basketloom.plans.panel import latest_features
+from basketloom.sources.files import newest_partition, write_parquet, write_partitioned
 
 
 def filled(df: DataFrame) -> DataFrame:
@@ -30,17 +31,23 @@ def filled(df: DataFrame) -> DataFrame:
     return df.fillna(0, subset=numeric_columns(df))
 
 
-def latest_week(features: DataFrame) -> DataFrame:
-    """Rows of the newest week; over a table partitioned by week only that folder is read."""
-    newest = features.agg(F.max("week_end")).scalar()
-    return features.filter(F.col("week_end") == newest)
+def splits(weekly: DataFrame) -> tuple[list[str], list[str]]:
+    """Categories and payment types that a weekly table has columns for."""
+    return tuple([c[4:] for c in weekly.columns if c.startswith(kind)] for kind in ("cat_", "pay_"))
+
+
+def add_latest(spark: SparkSession, weekly_path: str, features_path: str) -> DataFrame:
+    """Add the newest week's features to a table in folders by week; other weeks' folders stay."""
+    weekly = spark.read.parquet(weekly_path)
+    write_partitioned(latest_features(weekly, *splits(weekly)), features_path, ["week_end"])
+    return newest_partition(spark, features_path, "week_end")
 
 
 def score_latest(spark: SparkSession, features_path: str, model_path: str, out: str) -> DataFrame:
-    """Score the newest week with the saved stages and forest."""
+    """Score the newest week, read from its own folder, with the saved stages and forest."""
     stages = PipelineModel.load(f"{model_path}/stages")
     forest = RandomForestClassificationModel.load(f"{model_path}/forest")
-    rows = stages.transform(filled(latest_week(spark.read.parquet(features_path))))
+    rows = stages.transform(filled(newest_partition(spark, features_path, "week_end")))
     scored = with_score(forest.transform(rows.select("customer_id", "week_end", "features")))
     write_parquet(scored.select("customer_id", "week_end", "prediction", "score"), out)
     return spark.read.parquet(out)
@@ -55,7 +62,7 @@ def score_clusters(spark: SparkSession, features_path: str, model_path: str, out
     return spark.read.parquet(out)
 
 
-JOBS = {"score-clusters": score_clusters, "score-latest": score_latest}
+JOBS = {"score-clusters": score_clusters, "add-latest": add_latest, "score-latest": score_latest}
 
 if __name__ == "__main__":
-    JOBS[sys.argv[1]](SparkSession.builder.appName(sys.argv[1]).getOrCreate(), *sys.argv[2:5])
+    JOBS[sys.argv[1]](SparkSession.builder.appName(sys.argv[1]).getOrCreate(), *sys.argv[2:])

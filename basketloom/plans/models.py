@@ -34,6 +34,8 @@ FOREST = dict(
 BOOSTED = dict(maxDepth=8, maxIter=16, subsamplingRate=0.7, seed=125)
 SWEEP = range(2, 21)
 
+#: Labelled rows of each class that trees are trained on, about.
+PER_CLASS = 50_000
 #: Rows per partition of a cached training set.
 FIT_ROWS = 50_000
 
@@ -67,6 +69,20 @@ def hash_split(df: DataFrame, keys: Sequence[str], share: float = 0.8) -> DataFr
     return df.withColumn("is_train", (F.substring(digest, 1, 8) < limit).cast("int"))
 
 
+def bounded_rows(df: DataFrame, label: str, keys: Sequence[str], per_class: int = PER_CLASS) -> DataFrame:
+    """About ``per_class`` rows of every class, those of the least key hashes; all of a smaller class.
+
+    Bounds what trees learn from, however large the table is. The rows do not
+    depend on partitions or order; null labels go.
+    """
+    sizes = {r[0]: r[1] for r in df.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    place = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(1 << 32))
+    kept = F.lit(False)
+    for value, n in sizes.items():
+        kept = kept | ((F.col(label) == F.lit(value)) & (place < min(1 << 32, -(-per_class * (1 << 32) // n))))
+    return df.filter(kept)
+
+
 def settled_input(df: DataFrame, key: str) -> DataFrame:
     """Cached rows in an order that repeats, for fits that read them many times.
 
@@ -152,6 +168,69 @@ def assign_clusters(model: KMeansModel, df: DataFrame, key: str, features: str =
     return model.setFeaturesCol(features).transform(df).select(key, "prediction")
 
 
+# ---- clusters that do not depend on the machine ------------------------------
+
+#: Units per 1 of a fixed-point value.
+UNIT = 1_000_000
+
+
+def fixed_points(df: DataFrame, key: str, columns: Sequence[str], scale: bool = True) -> DataFrame:
+    """(key, point): the columns as whole millionths, min-max scaled to 0 .. 1 first unless ``scale`` is off.
+
+    A column of one value becomes 0.5; nulls must be filled before.
+    """
+    values = {c: F.col(c).cast("double") for c in columns}
+    if scale:
+        ends = df.agg(*[f(x).alias(f"{n}_{c}") for c, x in values.items() for n, f in (("low", F.min), ("high", F.max))]).first()
+        for c, x in values.items():
+            low, high = ends[f"low_{c}"], ends[f"high_{c}"]
+            values[c] = (x - F.lit(low)) / F.lit(high - low) if low is not None and high > low else F.lit(0.5)
+    return df.select(key, F.array(*[F.floor(x * float(UNIT) + 0.5).cast("bigint") for x in values.values()]).alias("point"))
+
+
+def fixed_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, point): the elements of an array column as whole millionths."""
+    return df.select(key, F.transform(vector, lambda x: F.floor(x.cast("double") * float(UNIT) + 0.5).cast("bigint")).alias("point"))
+
+
+def nearest(centres: Sequence[Sequence[int]]) -> Column:
+    """Struct (d, i) of the nearest centre to ``point``: squared distance and index, the lowest of equals."""
+
+    def distance(centre) -> Column:
+        other = F.array(*[F.lit(c).cast("bigint") for c in centre])
+        return F.aggregate(F.zip_with("point", other, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("bigint"), lambda a, d: a + d)
+
+    return F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))
+
+
+def exact_kmeans(points: DataFrame, key: str, k: int, iterations: int = 10) -> list[list[int]]:
+    """Centres of ``k`` clusters of (key, point), equal on every machine and partitioning.
+
+    Lloyd's iterations in whole numbers, from the points of the lowest keys:
+    sums are exact, a mean is rounded down, ties go to the lower cluster, an
+    empty cluster keeps its centre. Clusters are numbered in the order of their
+    centres. Each iteration is one aggregate with a row per cluster; ``points``
+    should be a stored table. Fewer points than ``k`` give fewer clusters.
+    """
+    centres = [list(r["point"]) for r in points.orderBy(key).limit(k).collect()]
+    for _ in range(iterations if centres else 0):
+        placed = points.select(nearest(centres)["i"].alias("i"), "point")
+        sums = [F.sum(F.col("point")[j]).alias(f"s{j}") for j in range(len(centres[0]))]
+        moved = [list(c) for c in centres]
+        for i, n, *total in placed.groupBy("i").agg(F.count(F.lit(1)), *sums).collect():
+            moved[i] = [t // n for t in total]
+        if moved == centres:
+            break
+        centres = moved
+    return sorted(centres)
+
+
+def place(points: DataFrame, key: str, centres: Sequence[Sequence[int]]) -> DataFrame:
+    """(key, prediction, distance): the cluster of every point and the squared distance to its centre."""
+    found = points.select(key, nearest(centres).alias("__found"))
+    return found.select(key, F.col("__found.i").alias("prediction"), (F.col("__found.d") / float(UNIT) / float(UNIT)).alias("distance"))
+
+
 def fit_forest(df: DataFrame, label: str, features: str = "features", **params):
     return RandomForestClassifier(labelCol=label, featuresCol=features, **{**FOREST, **params}).fit(df)
 

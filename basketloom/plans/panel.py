@@ -1,6 +1,10 @@
-"""Weekly panel per customer and its trailing-window features.
+"""Weekly features per customer: for all weeks, for modelling rows, or for the newest week.
 
-Shuffles: the weekly aggregate, then one exchange by customer that serves the
+``rolling_feature_table`` fills the weeks without purchases. ``model_table`` and
+``latest_features`` give some of its rows from the weekly rows alone: the first
+by frames over week numbers, the second by one aggregate.
+
+Shuffles of the full table: the weekly aggregate, then one exchange by customer that serves the
 gap filling, the labels and every trailing window. All windows run on weekly
 rows, so a customer never has more rows than the calendar has weeks, however
 large that customer's share of the sales is.
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketloom.functions.scalars import month_key, week_end
-from basketloom.operators.grouping import ratio
+from basketloom.operators.grouping import listed, ratio
 from basketloom.plans.enrich import cents, from_cents
 from basketloom.sources.stage import settle
 
@@ -53,9 +57,11 @@ def weekly_aggregate(
     """Customer by week: sales, orders, units and the splits, in one aggregate.
 
     ``payments`` are cleaned labels. ``pay_agg=F.max`` gives the largest single
-    amount per payment type instead of the sum.
+    amount per payment type instead of the sum. A category or payment type that
+    is not listed is an error; rows without one count in the totals only.
     """
-    rows = enriched.select(
+    known = listed(listed(enriched, "category", categories), "pay", payments)
+    rows = known.select(
         "customer_id", week_end("tran_dt").alias("week_end"), "order_id", "qty", "category", "pay",
         cents("dollars").alias("cents"),
     )
@@ -251,7 +257,11 @@ def rolling_feature_table(base: DataFrame, categories: Sequence[str], payments:
     measures, 4n trailing sums, 15 ratios, c + p shares, 4 trends and 3 parts
     of the date: 102 features for five of each.
     """
-    trailing = trailing_features(with_flag_and_labels(base), categories, payments)
+    return _finished(trailing_features(with_flag_and_labels(base), categories, payments), categories, payments)
+
+
+def _finished(trailing: DataFrame, categories: Sequence[str], payments: Sequence[str]) -> DataFrame:
+    """The columns that follow from a row's own trailing sums; money as double."""
     money = ["sales", *split_columns(categories, payments)]
     plain = trailing.withColumns({m: F.col(m).cast("double") for m in money})
     return derived(
@@ -294,3 +304,127 @@ def model_dataset(features: DataFrame, weeks: DataFrame | None = None) -> DataFr
     weeks = features.select("week_end") if weeks is None else weeks
     active, complete = model_rows(weeks)
     return month_sample(features, weeks).filter(active & complete)
+
+
+# ---- the same features without the panel ------------------------------------
+
+def week_number(week: Column) -> Column:
+    """Consecutive integers for consecutive week ends."""
+    return F.floor(F.unix_date(week) / 7).cast("int")
+
+
+def last_week_end(day: Column) -> Column:
+    """The last week end (Saturday) in the day's month."""
+    last = F.last_day(day)
+    return F.date_sub(last, F.dayofweek(last) % 7)
+
+
+def _month_ends(after: Column, until: Column) -> Column:
+    """Last week ends of months behind ``after``, up to ``until``, which is not before it."""
+    months = F.sequence(F.trunc(after, "MM"), F.trunc(until, "MM"), F.expr("interval 1 month"))
+    return F.filter(F.transform(months, last_week_end), lambda week: (week > after) & (week <= until))
+
+
+def interval_sums(
+    df: DataFrame, columns: Sequence[str], spans: Sequence[int], keys: Sequence[str], week: str, ahead: int | None = None
+) -> DataFrame:
+    """Add ``<column>_<n>w``, the sum over the last ``n`` weeks, where weeks may be missing.
+
+    ``week`` is an integer, unique within the keys. Each sum is a running total
+    minus the running total at the last row ``n`` or more weeks back, found by a
+    frame over the week's value, so neither missing weeks nor long spans cost
+    anything. With ``ahead`` also ``<column>_next_<ahead>w``, the sum over the
+    coming weeks. Sums are exact inside; money comes out as double.
+    """
+    units = {c: _whole(df, c) for c in columns}
+    spec = Window.partitionBy(*keys).orderBy(week)
+    upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+    run = df.select("*", *[F.sum(units[c][0]).over(upto).alias(f"__{c}") for c in columns])
+    packed = run.withColumn("__run", F.struct(*[F.col(f"__{c}").alias(f"c{i}") for i, c in enumerate(columns)]))
+
+    def reached(n: int) -> Column:
+        return F.last("__run").over(spec.rangeBetween(Window.unboundedPreceding, n))
+
+    ends = {f"__back_{n}": reached(-n) for n in spans} | ({"__ahead": reached(ahead)} if ahead else {})
+    found = packed.select("*", *[c.alias(n) for n, c in ends.items()])
+
+    def total(i: int, c: str, high: Column, low: Column) -> Column:
+        whole = high - F.coalesce(low, F.lit(0).cast("bigint"))
+        return whole / F.lit(float(units[c][1])) if units[c][1] > 1 else whole
+
+    sums = [total(i, c, F.col(f"__{c}"), F.col(f"__back_{n}")[f"c{i}"]).alias(f"{c}_{n}w") for i, c in enumerate(columns) for n in spans]
+    if ahead:
+        sums += [total(i, c, F.col("__ahead")[f"c{i}"], F.col(f"__{c}")).alias(f"{c}_next_{ahead}w") for i, c in enumerate(columns)]
+    return found.select(*df.columns, *sums)
+
+
+def _measures(weekly: DataFrame) -> list[str]:
+    return [c for c in weekly.columns if c not in ("customer_id", "week_end")]
+
+
+def model_table(weekly: DataFrame, categories: Sequence[str], payments: Sequence[str], ahead: int = AHEAD) -> DataFrame:
+    """The rows of :func:`model_dataset` with all features and both labels, from the weekly rows.
+
+    One week per month and customer: month ends within a year of a purchase and
+    with all label weeks known. A weekly row emits itself and the month ends up
+    to the customer's next row, at most a year's; nothing else is filled, so
+    there are never more than 13 rows per weekly row, and few in practice.
+    ``weekly`` is read twice and should be a stored table.
+    """
+    newest = weekly.agg(F.max("week_end")).scalar()
+    mine = Window.partitionBy("customer_id")
+    following = F.date_sub(F.lead("week_end").over(mine.orderBy("week_end")), 7)
+    year = F.date_add(F.col("week_end"), 7 * (max(SPANS) - 1))
+    spans = weekly.select(
+        "*", F.min("week_end").over(mine).alias("min_week"), F.max("week_end").over(mine).alias("max_week"),
+        F.least(F.coalesce(following, newest), year).alias("__until"),
+    )
+    weeks = F.concat(F.array("week_end"), _month_ends(F.col("week_end"), F.col("__until")))
+    filled = spans.withColumn("__week", F.explode(weeks))
+    bought = F.col("__week") == F.col("week_end")
+    kind = {f.name: f.dataType for f in weekly.schema.fields}
+    rows = filled.select(
+        "customer_id", F.col("__week").alias("week_end"), "min_week", "max_week",
+        *[F.when(bought & F.col(m).isNotNull(), F.col(m)).otherwise(F.lit(0).cast(kind[m])).alias(m) for m in _measures(weekly)],
+    )
+    flagged = rows.withColumn("purchase_flag", F.when(F.col("sales") > 0, 1).otherwise(0)).withColumn("__number", week_number(F.col("week_end")))
+    summed = interval_sums(flagged, base_columns(categories, payments), SPANS, ["customer_id"], "__number", ahead)
+    coming = [f"{c}_next_{ahead}w" for c in base_columns(categories, payments)]
+    labels = {
+        f"purchase_flag_next_{ahead}w": (F.col(f"purchase_flag_next_{ahead}w") > 0).cast("int"),
+        f"sales_next_{ahead}w": F.col(f"sales_next_{ahead}w"),
+    }
+    kept = summed.filter(
+        (F.col("week_end") == last_week_end(F.col("week_end"))) & (F.col("sales_52w") > 0) & (F.col("week_end") < F.date_sub(newest, 7 * (ahead - 1)))
+    )
+    first = [*IDS, *_measures(weekly), "purchase_flag"]
+    rest = [c for c in summed.columns if c not in (*first, *coming, "__number")]
+    return _finished(kept.select(*first, *[c.alias(n) for n, c in labels.items()], *rest), categories, payments)
+
+
+def latest_features(weekly: DataFrame, categories: Sequence[str], payments: Sequence[str], ahead: int = AHEAD) -> DataFrame:
+    """The newest week of :func:`rolling_feature_table`, from one aggregate over the weekly rows.
+
+    Every trailing sum is a sum over the rows young enough. Labels are null.
+    ``weekly`` is read twice and should be a stored table.
+    """
+    newest = weekly.agg(F.max("week_end")).scalar()
+    flagged = weekly.withColumn("purchase_flag", F.when(F.col("sales") > 0, 1).otherwise(0))
+    columns = base_columns(categories, payments)
+    units = {c: _whole(flagged, c) for c in columns}
+    age = (F.datediff(newest, F.col("week_end")) / 7).cast("int")
+    rows = flagged.select("customer_id", "week_end", age.alias("__age"), *[units[c][0].alias(c) for c in columns])
+    young = lambda c, n: F.coalesce(F.sum(F.when(F.col("__age") < n, F.col(c))), F.lit(0).cast("bigint"))
+    own = rows.groupBy("customer_id").agg(
+        F.min("week_end").alias("min_week"), F.max("week_end").alias("max_week"),
+        *[young(c, n).alias(f"{c}_{n}w") for c in columns for n in (1, *SPANS)],
+    )
+    scaled = lambda c, n: F.col(f"{c}_{n}w") / F.lit(float(units[c][1])) if units[c][1] > 1 else F.col(f"{c}_{n}w")
+    kind = {f.name: f.dataType for f in flagged.schema.fields}
+    trailing = own.select(
+        "customer_id", newest.alias("week_end"), "min_week", "max_week",
+        *[scaled(c, 1).cast(kind[c]).alias(c) for c in columns],
+        F.lit(None).cast("int").alias(f"purchase_flag_next_{ahead}w"), F.lit(None).cast("double").alias(f"sales_next_{ahead}w"),
+        *[scaled(c, n).alias(f"{c}_{n}w") for c in columns for n in SPANS],
+    )
+    return _finished(trailing, categories, payments)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketloom.sources.stage import discard, settle
+
 Schema = str | T.StructType
 
 
@@ -56,8 +58,8 @@ def as_uri(spark: SparkSession, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, **options: str) -> None:
-    """CSV with header. ``single_file`` is for small profiles only."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with header. ``single_file`` is for small profiles only; they are still computed by all tasks."""
+    out = df.repartition(1) if single_file else df
     out.write.options(header=True, **options).mode("overwrite").csv(path)
 
 
@@ -66,21 +68,42 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
     out.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], spread: int = 4) -> None:
-    """One folder per value; each value is written by up to ``spread`` tasks.
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], file_rows: int = 1_000_000) -> None:
+    """One folder per value of ``by``, with as many files as the value's rows ask.
 
-    The row hash beside the value keeps one large value from being one task.
+    A count per value comes first, so a value that holds most rows is dealt over
+    as many tasks as it needs files of ``file_rows`` rows, and a small value is
+    one file. Folders of values that do not occur stay as they are. The rows are
+    read twice; rows that are equal in every column stay together.
     """
-    rest = [c for c in df.columns if c not in by]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(spread))
+    names = {c: f"__{c}" for c in by}
+    counts = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("__files"))
+    files = settle(counts.select(*[F.col(c).alias(n) for c, n in names.items()], "__files"), "files")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    part = F.pmod(F.xxhash64(*df.columns), F.col("__files"))
+    dealt = df.join(files, same).withColumn("__part", part).repartition(*by, "__part")
     (
-        df.repartition(*[F.col(c) for c in by], salt)
+        dealt.select(*df.columns)
         .write.partitionBy(*by)
+        .option("maxRecordsPerFile", file_rows)
+        .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
     )
+    discard(files)
+
+
+def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The folder with the greatest value of a partition column; the other folders are listed, not read."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
+    values = [name[len(column) + 1 :] for f in found if (name := f.getPath().getName()).startswith(f"{column}=")]
+    values = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
+    if not values:
+        raise ValueError(f"{path} has no folders of {column}")
+    return spark.read.option("basePath", path).parquet(f"{path}/{column}={max(values)}")
 
 
 def sample_export(df: DataFrame, path: str, order: Sequence[str], n: int = 50) -> None:
     """The first ``n`` rows along ``order`` as one CSV file."""
-    write_csv(df.orderBy(*order).limit(n), path, single_file=True)
+    df.orderBy(*order).limit(n).coalesce(1).write.options(header=True).mode("overwrite").csv(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from basketloom.catalog import features
-from basketloom.plans import enrich, panel
+from basketloom.plans import enrich, jobs, panel
 
 CATS, PAYS = ["A", "B", "C", "D", "E"], ["cash", "credit_card", "debit_card", "gift_card", "others"]
 
@@ -129,3 +129,82 @@ def test_cents_are_exact(spark):
     df = spark.createDataFrame([("0.29",), ("1.15",), ("123456789012.34",), ("-4.35",)], "s string")
     got = df.select(enrich.cents("s")).collect()
     assert [r[0] for r in got] == [29, 115, 12345678901234, -435]
+
+
+@pytest.fixture(scope="module")
+def weekly(enriched):
+    return panel.weekly_aggregate(enriched, CATS, PAYS).persist()
+
+
+def _rows(df, columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("thin", [1, 12, 30])
+def test_model_rows_without_the_panel(enriched, thin):
+    """Also for customers with years between purchases: lines are thinned out by order."""
+    few = enriched.filter(F.col("order_id") % thin == 0)
+    rows = panel.weekly_aggregate(few, CATS, PAYS).persist()
+    full = panel.rolling_feature_table(panel.weekly_base(rows), CATS, PAYS)
+    want, got = panel.model_dataset(full, panel.calendar(rows)), panel.model_table(rows, CATS, PAYS)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+    assert got.count() > 0
+
+
+def test_a_year_without_purchases_ends_the_model_rows(spark):
+    day = lambda n: datetime.date(2019, 1, 5) + datetime.timedelta(7 * n)
+    sales = [(1, 1, day(0)), (1, 2, day(150)), (2, 3, day(20)), (2, 4, day(21)), (3, 5, day(160)), (4, 6, day(170))]
+    df = spark.createDataFrame(sales, "customer_id int, order_id int, tran_dt date").select(
+        "*", F.lit(2).alias("qty"), F.lit("A").alias("category"), F.lit("cash").alias("pay"), F.lit(3).cast("decimal(18,2)").alias("dollars")
+    )
+    rows = panel.weekly_aggregate(df, CATS, PAYS).persist()
+    full = panel.rolling_feature_table(panel.weekly_base(rows), CATS, PAYS)
+    want, got = panel.model_dataset(full, panel.calendar(rows)), panel.model_table(rows, CATS, PAYS)
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+    weeks = {(r.customer_id, (r.week_end - day(0)).days // 7) for r in got.collect()}
+    assert max(w for c, w in weeks if c == 1 and w < 150) == 51 and not any(51 < w < 150 for c, w in weeks if c == 1)
+
+
+def test_the_panel_is_never_built(weekly):
+    plan = panel.model_table(weekly, CATS, PAYS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate ") <= plan.count("Exchange hashpartitioning(customer_id") * 2 and "Join" not in plan
+    latest = panel.latest_features(weekly, CATS, PAYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in latest and "Generate" not in latest and "Join" not in latest
+
+
+def test_newest_week_from_one_aggregate(weekly, table):
+    newest = table.agg(F.max("week_end")).first()[0]
+    want, got = table.filter(F.col("week_end") == newest), panel.latest_features(weekly, CATS, PAYS)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+
+
+def test_interval_sums_over_missing_weeks(spark):
+    r = random.Random(3)
+    cells = [(c, w, r.randint(-50, 50)) for c in range(3) for w in r.sample(range(80), 25)]
+    df = spark.createDataFrame(cells, "c int, w int, x long")
+    got = panel.interval_sums(df, ["x"], (1, 4, 30), ["c"], "w", ahead=5).collect()
+    for row in got:
+        mine = {w: x for c, w, x in cells if c == row.c}
+        for n in (1, 4, 30):
+            assert row[f"x_{n}w"] == sum(x for w, x in mine.items() if row.w - n < w <= row.w)
+        assert row.x_next_5w == sum(x for w, x in mine.items() if row.w < w <= row.w + 5)
+
+
+def test_last_week_ends(spark):
+    days = [(datetime.date(2019, m, 15),) for m in range(1, 13)] + [(datetime.date(2020, 2, 1),)]
+    for (day, last) in spark.createDataFrame(days, "d date").select("d", panel.last_week_end(F.col("d"))).collect():
+        assert last.weekday() == 5 and last.month == day.month and (last + datetime.timedelta(7)).month != day.month
+
+
+def test_only_the_newest_weeks_folder_is_scored(spark, weekly, tmp_path):
+    path, features_path = str(tmp_path / "weekly"), str(tmp_path / "features")
+    weekly.write.parquet(path)
+    older = weekly.filter(F.col("week_end") <= datetime.date(2020, 1, 4))
+    older.write.parquet(path + "_older")
+    jobs.add_latest(spark, path + "_older", features_path)
+    newest = jobs.add_latest(spark, path, features_path)
+    assert len(list((tmp_path / "features").glob("week_end=*"))) == 2
+    assert newest.count() == weekly.select("customer_id").distinct().count() and len({f.rsplit("/", 2)[1] for f in newest.inputFiles()}) == 1
+    assert jobs.splits(weekly) == (CATS, PAYS)

@@ -162,17 +162,30 @@ def test_blank_rows(spark, tmp_path):
     assert files.drop_blank_rows(files.read_csv(spark, str(path))).columns == ["a", "b"]
 
 
-def test_partitioned_write_is_pruned_and_spread(spark, tmp_path):
-    df = spark.range(1000).select("id", F.when(F.col("id") < 900, 1).otherwise(2).alias("k"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # tiny rows would share a task
-    try:
-        files.write_partitioned(df, str(tmp_path / "t"), ["k"], spread=4)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def test_partitioned_write_gives_each_value_the_files_it_asks_for(spark, tmp_path):
+    df = spark.range(1000).select("id", F.when(F.col("id") < 900, 1).when(F.col("id") < 990, 2).alias("k"))
+    files.write_partitioned(df, str(tmp_path / "t"), ["k"], file_rows=100)
     back = spark.read.parquet(str(tmp_path / "t"))
-    hot = back.filter("k = 1")
-    assert hot.count() == 900 and hot.select(F.input_file_name()).distinct().count() > 1
-    assert "PartitionFilters: [isnotnull(k" in hot._jdf.queryExecution().executedPlan().toString()
+    sizes = back.groupBy("k", F.input_file_name().alias("file")).count().collect()
+    per = {k: [r["count"] for r in sizes if r["k"] == k] for k in (1, 2, None)}
+    assert [sum(per[k]) for k in (1, 2, None)] == [900, 90, 10] and 9 <= len(per[1]) <= 12 and max(per[1]) <= 100
+    assert len(per[2]) == len(per[None]) == 1
+    assert "PartitionFilters: [isnotnull(k" in back.filter("k = 1")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitioned_write_replaces_touched_folders_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.write_partitioned(spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string"), path, ["k"])
+    files.write_partitioned(spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string"), path, ["k"])
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "v").collect())) == [(1, "old"), (2, "new"), (3, "new")]
+    newest = files.newest_partition(spark, path, "k")
+    assert newest.select("k", "v").collect() == [(3, "new")] and all("k=3" in f for f in newest.inputFiles())
+
+
+def test_newest_partition_needs_folders(spark, tmp_path):
+    files.write_parquet(spark.range(3), str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        files.newest_partition(spark, str(tmp_path / "t"), "k")
 
 
 def test_describe_string_breaks_ties_by_value(spark):
