@@ -27,7 +27,7 @@ from basketloom.sources.stage import discard, settle
 #: times a source may be taken; words of a block.
 WEIGHTS, PERCENT, MOST, BLOCK = (3, 1, 2), 150, 2, 2048
 #: Documents of a source that one task puts in order, about; slots made from one row.
-TOGETHER, CELLS = 50_000, 1 << 14
+TOGETHER, CELLS = 5_000, 1 << 14
 
 
 def sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
