@@ -6,6 +6,12 @@ running maximum of the ends before it, a new group begins. Inside a group every
 token of A meets the tokens of B whose ranges overlap its own. The pairs that
 end together are the links.
 
+A text is cut at single blanks between characters that are neither white space
+nor U+2581. Both tokenizers begin a token there, so the parts are tokenized and
+aligned apart; a worker aligns a part that occurs again only once. The
+tokenizers' files are checked for that property, and texts with a part that a
+tokenizer does not give back are taken whole.
+
 Of two tokens that end together the shorter one's bytes end the longer one's,
 so the vocabularies alone bound the number of linked id pairs (``pair_bound``);
 their corpus-wide counts are therefore a table that every task may hold.
@@ -16,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +34,17 @@ from pyspark.sql import functions as F
 from basketloom.llm.hashing import text_rows
 from basketloom.sources.stage import discard, settle
 
-#: Bytes of text aligned at once, and links held by a task before it counts them.
+#: Characters of text aligned at once, and links held by a task before it counts them.
 TOGETHER, HELD = 1 << 20, 1 << 22
+#: Aligned parts that a worker remembers, a full memory starts afresh; longer parts are not remembered.
+KNOWN, SHORT = 200_000, 64
+#: Characters of parts that are tokenized as one.
+LUMP = 4096
 _BLANK = "▁"
+_CUT = re.compile(rf" (?<=[^\s{_BLANK}] )(?=[^\s{_BLANK}])")
+_EDGE = re.compile(rf"[\s{_BLANK}]")
+# The pre-tokenizer's pattern whose parts never hold a blank behind another character.
+_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
 def _bytes_of_characters() -> dict[str, int]:
@@ -124,24 +139,116 @@ def _printed(n_a: int, n_b: int) -> list[str]:
     return [f"{i}{mark}" for i in range(n_a) for mark in ",|"] + [f"{i}{mark}" for i in range(n_b) for mark in ",;"]
 
 
-_loaded: dict[str, tuple] = {}
-
+class _Aligner:
+    """Both tokenizers and what is known of parts of texts: (n_a, n_b, n_groups, n_overlaps, printed groups, links)."""
 
-def _tools(spec: str, model: bytes) -> tuple:
-    """Both tokenizers and their tables, made once per worker."""
-    name = hashlib.sha256(spec.encode() + model).hexdigest()
-    if name not in _loaded:
+    def __init__(self, spec: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        one, two = Tokenizer.from_str(spec), SentencePieceProcessor(model_proto=model)
-        one.encode_special_tokens = True
-        bytes_a, bytes_b = byte_level_tokens(spec), piece_tokens(model)
-        sizes = [np.array([len(t) for t in x], np.int64) for x in (bytes_a, bytes_b)]
-        _loaded.clear()
-        _loaded[name] = one, two, bytes_a, bytes_b, *sizes, _printed(len(bytes_a), len(bytes_b))
-    return _loaded[name]
+        self.one, self.two = Tokenizer.from_str(spec), SentencePieceProcessor(model_proto=model)
+        self.one.encode_special_tokens = True
+        self.bytes_a, self.bytes_b = byte_level_tokens(spec), piece_tokens(model)
+        self.sizes_a, self.sizes_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.printed = _printed(len(self.bytes_a), len(self.bytes_b))
+        self.code = _code_type(len(self.bytes_a), len(self.bytes_b))
+        self.apart = _parts_are_apart(spec, [self.two.id_to_piece(i) for i in range(self.two.piece_size())])
+        self.known: dict[str, tuple | None] = {}
+
+    def _aligned(self, parts: list[str], joined: bool = True) -> list[tuple | None]:
+        """Of every part, with the blank before it; None where a tokenizer does not give it back.
+
+        Parts that could stand side by side in a text are tokenized as one.
+        """
+        lumps, room = [], 0
+        for k, p in enumerate(parts):
+            if not joined or room <= 0 or _EDGE.match(p[0]) or _EDGE.match(p[-1]):
+                lumps.append([])
+                room = LUMP if joined and not _EDGE.match(p[0]) and not _EDGE.match(p[-1]) else 0
+            lumps[-1].append(k)
+            room -= len(p) + 1
+        texts = [" ".join([parts[k] for k in lump]) for lump in lumps]
+        ids_a = [e.ids for e in self.one.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        ids_b = self.two.encode(texts, num_threads=1)
+        out: list[tuple | None] = [None] * len(parts)
+        same, again = [], []
+        for lump, text, a, b in zip(lumps, texts, ids_a, ids_b):
+            whole = (" " + text).encode("utf-8", "surrogatepass")
+            if b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole:
+                same.append((lump, a, b))
+            elif len(lump) > 1:
+                again += lump
+        if same:
+            a, b = (np.concatenate([np.array(x[s], np.int64) for x in same]) for s in (1, 2))
+            found = align(self.sizes_a[a], self.sizes_b[b])
+            written = _written(a, b, found, len(self.bytes_a)).tolist()
+            pair = found.over_a[found.together], found.over_b[found.together]
+            links = (a[pair[0]] * len(self.bytes_b) + b[pair[1]]).astype(self.code)
+            order = [k for lump, *_ in same for k in lump]
+            ends = np.cumsum([1 + len(parts[k].encode("utf-8", "surrogatepass")) for k in order])
+            upto = []
+            for sizes in (self.sizes_a[a], self.sizes_b[b]):
+                reached = np.cumsum(sizes)
+                upto.append(np.searchsorted(reached, ends) + 1)
+                if not np.array_equal(reached[upto[-1] - 1], ends):
+                    raise ValueError("a token reaches over a blank")
+            before = np.concatenate([[0], upto[0][:-1]])
+            cut = np.append(np.searchsorted(pair[0], before), len(links)).tolist()
+            over = np.append(np.searchsorted(found.over_a, before), len(found.over_a)).tolist()
+            groups = np.diff(found.group_a[upto[0] - 1] + 1, prepend=0).tolist()
+            n_a, n_b = (np.diff(x, prepend=0).tolist() for x in upto)
+            print_, at, packed, wide = self.printed.__getitem__, 0, links.tobytes(), links.itemsize
+            for j, k in enumerate(order):
+                text = "".join(map(print_, written[at : at + n_a[j] + n_b[j]]))
+                at += n_a[j] + n_b[j]
+                out[k] = n_a[j], n_b[j], groups[j], over[j + 1] - over[j], text, packed[wide * cut[j] : wide * cut[j + 1]]
+        for k, x in zip(again, self._aligned([parts[k] for k in again], False) if again else ()):
+            out[k] = x
+        return out
+
+    def __call__(self, texts: list[str]) -> list[tuple | None]:
+        """The same of whole texts, none of them empty."""
+        if not self.apart:
+            return self._aligned(texts, False)
+        cut = [_CUT.split(t) for t in texts]
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        asked = list({p for parts in cut for p in parts if p not in self.known})
+        here = dict(zip(asked, self._aligned(asked)))
+        self.known.update((p, x) for p, x in here.items() if len(p) <= SHORT)
+        out: list[tuple | None] = []
+        for parts in cut:
+            found = [here[p] if p in here else self.known[p] for p in parts]
+            if None in found:
+                out.append(None)
+                continue
+            *counts, printed, links = zip(*found)
+            out.append((*map(sum, counts), "".join(printed), b"".join(links)))
+        whole = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(whole, self._aligned([texts[k] for k in whole], False) if whole else ()):
+            out[k] = x
+        return out
+
+
+def _parts_are_apart(spec: str, pieces: list[str]) -> bool:
+    """Whether neither tokenizer can have a token with a blank, or U+2581, behind another character."""
+    parsed = json.loads(spec)
+    split = parsed.get("pre_tokenizer") or {}
+    plain = parsed.get("normalizer") is None and all(split.get(k, v) == v for k, v in _SPLITTER.items()) and split.get("type") == "ByteLevel"
+    return plain and not any(re.search(f"[^{_BLANK}]{_BLANK}", p) for p in pieces)
+
+
+_aligners: dict[str, _Aligner] = {}
+
+
+def _aligner(spec: str, model: bytes) -> _Aligner:
+    """Made once per worker."""
+    name = hashlib.sha256(spec.encode() + model).hexdigest()
+    if name not in _aligners:
+        _aligners.clear()
+        _aligners[name] = _Aligner(spec, model)
+    return _aligners[name]
 
 
 def encoded(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
@@ -155,37 +262,17 @@ def encoded(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
     types = [pa.int64(), *[pa.int64()] * 4, pa.string(), pa.binary()]
 
     def run(batches):
-        one, two, bytes_a, bytes_b, sizes_a, sizes_b, printed = _tools(*shared.value)
-        code = _code_type(len(bytes_a), len(bytes_b))
+        aligner = _aligner(*shared.value)
 
         def pack(held):
-            rows = [(i, 0, 0, 0, 0, "", b"") for i, _ in held]
-            at = [k for k, (_, text) in enumerate(held) if text]
-            spaced = [" " + held[k][1] for k in at]
-            ids_a = [e.ids for e in one.encode_batch_fast(spaced, add_special_tokens=False)] if at else []
-            ids_b = two.encode([held[k][1] for k in at], num_threads=1) if at else []
-            same = []
-            for k, text, a, b in zip(at, spaced, ids_a, ids_b):
-                whole = text.encode("utf-8", "surrogatepass")
-                if b"".join(map(bytes_a.__getitem__, a)) == whole and b"".join(map(bytes_b.__getitem__, b)) == whole:
-                    same.append((k, np.array(a, np.int64), np.array(b, np.int64)))
-            if same:
-                a, b = (np.concatenate([x[s] for x in same]) for s in (1, 2))
-                found = align(sizes_a[a], sizes_b[b])
-                written = _written(a, b, found, len(bytes_a))
-                pair = found.over_a[found.together], found.over_b[found.together]
-                links = (a[pair[0]] * len(bytes_b) + b[pair[1]]).astype(code)
-                ends_a, ends_b = (np.cumsum([len(x[s]) for x in same]) for s in (1, 2))
-                begins = [0, *ends_a[:-1]]
-                cut = np.searchsorted(pair[0], begins).tolist() + [len(links)]
-                over = np.searchsorted(found.over_a, begins).tolist() + [len(found.over_a)]
-                group = found.group_a[ends_a - 1] + 1
-                for j, (k, x, y) in enumerate(same):
-                    text = "".join(map(printed.__getitem__, written[ends_a[j] + ends_b[j] - len(x) - len(y) : ends_a[j] + ends_b[j]].tolist()))
-                    rows[k] = (
-                        rows[k][0], len(x), len(y), int(group[j] - (group[j - 1] if j else 0)), over[j + 1] - over[j],
-                        hashlib.sha256(text[:-1].encode()).hexdigest(), links[cut[j] : cut[j + 1]].tobytes(),
-                    )
+            found = iter(aligner([text for _, text in held if text]))
+            rows = []
+            for doc_id, text in held:
+                have = next(found) if text else None
+                if have is None:
+                    rows.append((doc_id, 0, 0, 0, 0, "", b""))
+                else:
+                    rows.append((doc_id, *have[:4], hashlib.sha256(have[4][:-1].encode()).hexdigest(), have[5]))
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
 
         held, size = [], 0

@@ -139,6 +139,18 @@ def test_alignment(docs, rows, files):
     assert sum(n for k, n in expected.items() if k[1]) > 50 and all(r["n_overlaps"] >= max(r["n_a"], r["n_b"]) for r in got)
 
 
+def test_parts_are_joined_and_remembered(rows, files, monkeypatch):
+    texts = [t for _, t, *_ in rows if t and len(t) < 5000] + ["a \u2581b \u2581 c", "\u2581 x", " y", "z ", "a\n b  c d\u00a0 e \u2003 f", "\x1c g \x85 h", "x\u2581 y"]
+    plain = token_alignment._Aligner(*files)
+    plain.apart = False
+    want = plain(texts)
+    for lump, known in ((4096, 200_000), (1, 10), (30, 0)):
+        monkeypatch.setattr(token_alignment, "LUMP", lump)
+        monkeypatch.setattr(token_alignment, "KNOWN", known)
+        parts = token_alignment._Aligner(*files)
+        assert parts.apart and parts(texts) == want and [parts([t])[0] for t in texts] == want
+
+
 def test_a_long_text_is_aligned(docs, files):
     row = token_alignment.alignment(docs.filter("doc_id = 104"), *files).first()
     assert row["n_groups"] == row["n_links"] > 50_000
