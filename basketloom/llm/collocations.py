@@ -36,7 +36,7 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: Language of rows without one.
 UNKNOWN = "und"
 #: Bytes of text hashed at once, words of a row, and phrases held by a task before it counts them.
-TOGETHER, ROW_WORDS, HELD = 1 << 22, 1 << 17, 1 << 21
+TOGETHER, ROW_WORDS, HELD = 1 << 21, 1 << 16, 1 << 19
 #: Bits of a bit field: at least 16 for each entry, within these limits.
 LEAST_BITS, MOST_BITS = 18, 26
 #: Shares of a language's frequent word occurrences, rarest words first, at which a new wave begins.
