@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.catalog import views as v
-from basketloom.catalog.features import weekly
 from basketloom.catalog.registry import query
-from basketloom.sources.stage import settle
+from basketloom.plans.enrich import enrich
+from basketloom.plans.panel import weekly_aggregate
+from basketloom.sources.resume import Stages
+from basketloom.sources.stage import cached, settle, stage_path
 
 
 @query(
@@ -37,11 +39,11 @@ def _(spark, sf):
     "sales",
 )
 def _(spark, sf):
-    """One cached aggregate read twice: by the rows and by their total."""
+    """One cached aggregate read twice: by the rows and by their total. It is released when both are done."""
     sums = v.sales(spark, sf).groupBy("payment_type_id").agg(F.sum("dollars").alias("dollars"))
-    sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
-    total = sums.agg(F.sum("dollars").cast("double")).scalar()
-    return sums.select("*", F.try_divide(F.col("dollars").cast("double"), total).alias("share"))
+    with cached(sums):
+        total = sums.agg(F.sum("dollars").cast("double")).scalar()
+        return settle(sums.select("*", F.try_divide(F.col("dollars").cast("double"), total).alias("share")), "shares")
 
 
 @query(
@@ -51,5 +53,17 @@ def _(spark, sf):
     "weekly",
 )
 def _(spark, sf):
-    """The weekly table through a stage table: its plan starts at the files."""
-    return settle(weekly(spark, sf)).select("customer_id", "week_end", "sales", "orders", "units")
+    """Two stages through resumable tables; a second job over the same folder only reads them."""
+    folder = stage_path(spark, "job")
+    tables = [v.sales(spark, sf), v.product_dim(spark, sf), v.payment_dim(spark, sf)]
+
+    def job() -> tuple[Stages, DataFrame]:
+        stages = Stages(spark, folder)
+        rows = stages.table("enriched", lambda: enrich(*tables), reads=tables)
+        return stages, stages.table("weekly", lambda: weekly_aggregate(rows, v.CATEGORIES, v.PAYMENTS), reads=["enriched"])
+
+    job()
+    stages, table = job()
+    if stages.made:
+        raise RuntimeError(f"made again: {stages.made}")
+    return table.select("customer_id", "week_end", "sales", "orders", "units")

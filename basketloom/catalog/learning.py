@@ -131,25 +131,23 @@ def _vectors(spark, sf) -> DataFrame:
 _ITERATIONS = 10
 
 
-def _clusters_sql(points: str, key: str, k: int) -> str:
-    """(c, i, m): the centres of the same fit, from ``points`` (key, i, v) in whole millionths."""
-    steps = [
-        f"c0 AS MATERIALIZED (SELECT c, i, v AS m FROM {points} JOIN "
-        f"(SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS c FROM (SELECT DISTINCT {key} FROM {points}) ORDER BY {key} LIMIT {k}) USING ({key}))"
-    ]
+def _clusters_sql(points: str, key: str, ks: range) -> str:
+    """(k, c, i, m): the centres of the same fits, from ``points`` (key, i, v) in whole millionths."""
+    first = f"SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS c FROM (SELECT DISTINCT {key} FROM {points}) ORDER BY {key} LIMIT {max(ks)}"
+    steps = [f"c0 AS MATERIALIZED (SELECT k, c, i, v AS m FROM {points} JOIN ({first}) USING ({key}) JOIN (SELECT unnest(range({min(ks)}, {max(ks) + 1})) AS k) ON c < k)"]
     for n in range(_ITERATIONS):
-        steps.append(f"a{n} AS MATERIALIZED ({_placed_sql(points, key, f'c{n}', k)})")
+        steps.append(f"a{n} AS MATERIALIZED ({_placed_sql(points, key, f'c{n}')})")
         steps.append(
-            f"c{n + 1} AS MATERIALIZED (SELECT c, i, coalesce(CAST(floor(CAST(s AS DOUBLE) / n) AS BIGINT), m) AS m FROM c{n} LEFT JOIN "
-            f"(SELECT c, i, sum(v) AS s, count(*) AS n FROM {points} JOIN a{n} USING ({key}) GROUP BY c, i) USING (c, i))"
+            f"c{n + 1} AS MATERIALIZED (SELECT k, c, i, coalesce(CAST(floor(CAST(s AS DOUBLE) / n) AS BIGINT), m) AS m FROM c{n} LEFT JOIN "
+            f"(SELECT k, c, i, sum(v) AS s, count(*) AS n FROM {points} JOIN a{n} USING ({key}) GROUP BY k, c, i) USING (k, c, i))"
         )
-    order = f"SELECT c, row_number() OVER (ORDER BY list(m ORDER BY i)) - 1 AS p FROM c{_ITERATIONS} GROUP BY c"
-    return f"WITH {', '.join(steps)} SELECT p AS c, i, m FROM c{_ITERATIONS} JOIN ({order}) USING (c)"
+    order = f"SELECT k, c, row_number() OVER (PARTITION BY k ORDER BY list(m ORDER BY i)) - 1 AS p FROM c{_ITERATIONS} GROUP BY k, c"
+    return f"WITH {', '.join(steps)} SELECT k, p AS c, i, m FROM c{_ITERATIONS} JOIN ({order}) USING (k, c)"
 
 
-def _placed_sql(points: str, key: str, centres: str, k: int) -> str:
-    distance = f"SELECT {key}, c, CAST(sum((v - m) * (v - m)) AS BIGINT) AS d FROM {points} JOIN {centres} USING (i) GROUP BY {key}, c"
-    return f"SELECT {key}, min(d * {k} + c) % {k} AS c, min(d) AS d FROM ({distance}) GROUP BY {key}"
+def _placed_sql(points: str, key: str, centres: str) -> str:
+    distance = f"SELECT k, {key}, c, CAST(sum((v - m) * (v - m)) AS BIGINT) AS d FROM {points} JOIN {centres} USING (i) GROUP BY k, {key}, c"
+    return f"SELECT k, {key}, min(d * 64 + c) % 64 AS c, min(d) AS d FROM ({distance}) GROUP BY k, {key}"
 
 
 v.add_view(
@@ -158,8 +156,8 @@ v.add_view(
        CAST(floor(CAST(unnest(embedding) AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS v FROM vectors""",
     ["vectors"],
 )
-v.add_view("vector_clusters", _clusters_sql("vector_points", "vec_id", 10), ["vector_points"])
-v.add_view("vector_places", _placed_sql("vector_points", "vec_id", "vector_clusters", 10), ["vector_points", "vector_clusters"])
+v.add_view("vector_clusters", _clusters_sql("vector_points", "vec_id", range(10, 11)), ["vector_points"])
+v.add_view("vector_places", _placed_sql("vector_points", "vec_id", "vector_clusters"), ["vector_points", "vector_clusters"])
 
 
 @query(
@@ -180,23 +178,6 @@ def _(spark, sf):
     return fitted.join(sizes, "prediction")
 
 
-@query(
-    "kmeans_sweep",
-    """SELECT k, (SELECT count(*) FROM customer) AS n_rows, 1 AS sse_is_positive, 1 AS silhouette_in_range
-       FROM (SELECT unnest(generate_series(2, 20)) AS k)""",
-)
-def _(spark, sf):
-    """k = 2 to 20 over the scaled customer features."""
-    data, _ = _scaled_customers(spark, sf)
-    sweep = models.kmeans_sweep(data, "customer_id")
-    return sweep.select(
-        "k",
-        "n_rows",
-        (F.col("sse") > 0).cast("int").alias("sse_is_positive"),
-        F.col("silhouette").between(-1, 1).cast("int").alias("silhouette_in_range"),
-    )
-
-
 _LONG = """SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
     generate_subscripts(embedding, 1) AS i FROM vectors"""
 
@@ -239,8 +220,32 @@ v.add_view(
     + "))",
     ["customer_table"],
 )
-v.add_view("customer_clusters", _clusters_sql("customer_points", "customer_id", 4), ["customer_points"])
-v.add_view("customer_places", _placed_sql("customer_points", "customer_id", "customer_clusters", 4), ["customer_points", "customer_clusters"])
+v.add_view("customer_clusters", _clusters_sql("customer_points", "customer_id", range(4, 5)), ["customer_points"])
+v.add_view("customer_places", _placed_sql("customer_points", "customer_id", "customer_clusters"), ["customer_points", "customer_clusters"])
+
+
+v.add_view("sweep_clusters", _clusters_sql("customer_points", "customer_id", models.SWEEP), ["customer_points"])
+v.add_view("sweep_places", _placed_sql("customer_points", "customer_id", "sweep_clusters"), ["customer_points", "sweep_clusters"])
+
+
+@query(
+    "kmeans_sweep",
+    """SELECT k, count(*) AS n_rows, round(sum(e) / 1e12, 6) AS sse,
+              round(avg(CASE WHEN n = 1 OR greatest(a, b) <= 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM (
+         SELECT k, customer_id, max(e) AS e, max(n) FILTER (WHERE own) AS n, max(d * n / greatest(n - 1, 1)) FILTER (WHERE own) AS a,
+                min(d) FILTER (WHERE NOT own) AS b FROM (
+           SELECT k, p.customer_id, p.d AS e, p.c = q.c AS own, q.n, sum(x.v * x.v - 2 * x.v * q.m + q.s) AS d
+           FROM sweep_places p JOIN customer_points x USING (customer_id) JOIN (
+             SELECT k, c, i, avg(CAST(v AS DOUBLE)) AS m, avg(CAST(v AS DOUBLE) * v) AS s, count(*) AS n
+             FROM sweep_places JOIN customer_points USING (customer_id) GROUP BY k, c, i
+           ) q USING (k, i) GROUP BY k, p.customer_id, p.d, p.c, q.c, q.n) GROUP BY k, customer_id) GROUP BY k""",
+    "sweep_places customer_points",
+)
+def _(spark, sf):
+    """k = 2 to 20 over the scaled customer features, every iteration and score of all models in one pass."""
+    points = settle(models.fixed_points(_customers(spark, sf), "customer_id", _NAMES), "points")
+    sweep = models.score_sweep(points, models.exact_sweep(points, "customer_id", models.SWEEP, _ITERATIONS))
+    return sweep.select("k", "n_rows", F.round("sse", 6).alias("sse"), F.round("silhouette", 6).alias("silhouette"))
 
 
 def _clustered(spark, sf) -> DataFrame:

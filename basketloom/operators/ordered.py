@@ -1,87 +1,138 @@
 """Ordered windows that stay parallel inside one large group.
 
 A plain ``Window.partitionBy(k).orderBy(o)`` sorts a whole group in one task,
-so one region holding a third of all rows would be one task's work. Both
-functions below use the plain window while every group is small and otherwise
-spread the group over many tasks, with the same rows as the result.
+so one region holding a third of all rows would be one task's work. Here the
+rows are cut, by key and order, into blocks of about equal size, whatever group
+they belong to; a scan in two levels adds the totals of a group's earlier blocks
+to the running totals inside a block. The bounds of the blocks come from a
+sample, so they shape the tasks and never the result.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from basketloom.sources.stage import settle
+#: Blocks per shuffle partition, and the most of them; sampled rows per block.
+PER_PARTITION, MOST_BLOCKS, SAMPLED = 2, 4096, 16
+#: Consecutive rows of a group that are looked at together, where rows look at their neighbours.
+BLOCK_ROWS = 1_000_000
 
-#: Largest group (in rows) that one task may sort.
-TASK_ROWS = 2_000_000
+_BLOCK, _LATER, _HOME, _POS = "__block", "__later", "__home", "__pos"
 
-_CHUNK, _LATER, _BLOCK, _HOME, _POS = "__chunk", "__later", "__block", "__home", "__pos"
 
+@dataclass(frozen=True)
+class _Place:
+    """One column of an order."""
 
-def group_extent(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows in the largest group and rows in total; one column-pruned pass."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
-    return int(row.top or 0), int(row.total or 0)
+    name: str
+    down: bool = False
+    nulls_last: bool = False
+
+    def before(self, a: Column, b: Column) -> Column:
+        """Whether value ``a`` comes strictly before ``b``."""
+        value = F.coalesce(a > b if self.down else a < b, F.lit(False))
+        a_null, b_null = a.isNull() & b.isNotNull(), a.isNotNull() & b.isNull()
+        return value | (b_null if self.nulls_last else a_null)
+
+    def column(self) -> Column:
+        c = F.col(f"`{self.name}`")
+        if self.down:
+            return c.desc_nulls_last() if self.nulls_last else c.desc_nulls_first()
+        return c.asc_nulls_last() if self.nulls_last else c.asc_nulls_first()
+
+
+def _places(df: DataFrame, order: Sequence[Column]) -> list[_Place]:
+    """The columns, directions and null places of an order such as ``[F.col("day").desc(), F.col("id")]``."""
+    out = []
+    for c in order:
+        name, way, nulls = re.fullmatch(r"Column<'(.*?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", str(c), re.DOTALL).groups()
+        if name not in df.columns:
+            raise ValueError(f"order by columns of the table, not by {name}")
+        out.append(_Place(name, way == "DESC", nulls == "LAST"))
+    return out
+
+
+def _bounds(df: DataFrame, places: Sequence[_Place], blocks: int) -> list[Row]:
+    """At most ``blocks`` - 1 rows, in order, that cut the table into parts of about equal size.
+
+    One row with the least hash is kept per cell of a hash; that takes one
+    combining aggregate, needs no count, and depends on the rows alone.
+    """
+    names = [f"`{p.name}`" for p in places]
+    cell = F.pmod(F.xxhash64(*names), F.lit(blocks * SAMPLED))
+    picked = df.groupBy(cell.alias("cell")).agg(F.min_by(F.struct(*names), F.xxhash64(F.lit(1), *names)).alias("row"))
+    rows = picked.select("row.*").orderBy(*[p.column() for p in places]).collect()
+    return [rows[len(rows) * k // blocks] for k in range(1, blocks) if len(rows) * k // blocks != len(rows) * (k - 1) // blocks]
+
+
+def _block(df: DataFrame, places: Sequence[_Place], bounds: Sequence[Row]) -> Column:
+    """How many bounds a row does not come before, found in two steps of about sqrt(bounds) comparisons."""
+    if not bounds:
+        return F.lit(0)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def literal(row: Row) -> Column:
+        return F.struct(*[F.lit(row[i]).cast(kinds[p.name]).alias(f"c{i}") for i, p in enumerate(places)])
+
+    def reached(bound: Column) -> Column:
+        """The row comes after the bound or is equal to it."""
+        found = F.lit(True)
+        for i, p in reversed(list(enumerate(places))):
+            here, there = F.col(f"`{p.name}`"), bound[f"c{i}"]
+            found = p.before(there, here) | (here.eqNullSafe(there) & found)
+        return found
+
+    step = max(1, int(len(bounds) ** 0.5))
+    parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    coarse = F.size(F.filter(F.array(*[literal(p[0]) for p in parts]), reached))
+    fine = F.array(*[F.array(*[literal(b) for b in p[1:]]) if len(p) > 1 else F.array().cast(_kind(places, kinds)) for p in parts])
+    inside = F.size(F.filter(F.get(fine, coarse - 1), reached))
+    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + 1 + inside)
+
+
+def _kind(places: Sequence[_Place], kinds: Mapping) -> str:
+    return "array<struct<" + ", ".join(f"c{i}: {kinds[p.name].simpleString()}" for i, p in enumerate(places)) + ">>"
+
+
+def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], blocks: int | None = None) -> DataFrame:
+    """Add ``__block``, which never falls along the order of the keys and then of ``order``."""
+    if blocks is None:
+        blocks = min(MOST_BLOCKS, PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    places = [*[_Place(k) for k in keys], *_places(df, order)]
+    return df.withColumn(_BLOCK, _block(df, places, _bounds(df, places, blocks)))
 
 
 def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    totals: Mapping[str, Column],
-    task_rows: int = TASK_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column], blocks: int | None = None
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` along ``order`` within ``keys``.
 
-    ``order`` must end in a unique column of the group. Give exact types
-    (integers, decimals): sums of doubles depend on the order of addition.
+    ``order`` holds columns of the table and must end in a unique one of the
+    group. Give exact types (integers, decimals): sums of doubles depend on the
+    order of addition.
 
-    Large groups: rows are range-partitioned by (keys, order) and written with
-    their partition number; each (partition, group) then starts from the sum of
-    the group's earlier partitions, put in front as one extra row.
+    Every block of a group starts from the sum of the group's earlier blocks,
+    put in front as one extra row. ``df`` is read three times, twice for the
+    columns of the order alone; store it first if it is expensive.
     """
     kinds = df.select(*[c.alias(n) for n, c in totals.items()]).dtypes
     if inexact := [n for n, kind in kinds if kind in ("double", "float")]:
         raise ValueError(f"sums of doubles depend on the order of addition: {inexact}")
-    top, rows = group_extent(df, keys)
-    if top <= task_rows:
-        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(frame).alias(n) for n, c in totals.items()])
-
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // task_rows))
-    chunked = settle(
-        df.select("*", *[c.alias(n) for n, c in totals.items()])
-        .repartitionByRange(parts, *[F.col(k) for k in keys], *order)
-        .withColumn(_CHUNK, F.spark_partition_id()),
-        "running",
-    )
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per group and chunk: at most `parts` rows per group
-    per_chunk = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(n).alias(n) for n in totals])
-    opening = per_chunk.select(
-        *keys,
-        _CHUNK,
-        *[F.sum(n).over(before).alias(n) for n in totals],
-        F.lit(0).alias(_LATER),
-    )
-    both = chunked.withColumn(_LATER, F.lit(1)).unionByName(opening, allowMissingColumns=True)
-    frame = (
-        Window.partitionBy(*keys, _CHUNK)
-        .orderBy(F.col(_LATER), *order)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    cut = with_blocks(df, keys, order, blocks).withColumns(dict(totals))
+    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per group and block: groups and blocks together bound their number
+    sums = cut.groupBy(*keys, _BLOCK).agg(*[F.sum(n).alias(n) for n in totals])
+    opening = sums.select(*keys, _BLOCK, *[F.sum(n).over(before).alias(n) for n in totals], F.lit(0).alias(_LATER))
+    both = cut.withColumn(_LATER, F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    frame = Window.partitionBy(*keys, _BLOCK).orderBy(F.col(_LATER), *order).rowsBetween(Window.unboundedPreceding, 0)
     kinds = df.select(*[F.sum(c).alias(n) for n, c in totals.items()]).schema
-    return (
-        both.select(
-            *df.columns, _LATER, *[F.sum(n).over(frame).cast(kinds[n].dataType).alias(n) for n in totals]
-        )
-        .filter(F.col(_LATER) == 1)
-        .drop(_LATER)
-    )
+    summed = both.select(*df.columns, _LATER, *[F.sum(n).over(frame).cast(kinds[n].dataType).alias(n) for n in totals])
+    return summed.filter(F.col(_LATER) == 1).drop(_LATER)
 
 
 def over_neighbours(
@@ -91,39 +142,20 @@ def over_neighbours(
     columns: Callable[[WindowSpec], Mapping[str, Column]],
     back: int = 0,
     ahead: int = 0,
-    task_rows: int = TASK_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows back and ``ahead`` on.
 
-    ``columns`` gets the ordered window and returns the named expressions.
-    Large groups are numbered once and cut into blocks of consecutive rows;
-    the few rows near an edge are also sent to the neighbouring block.
+    ``columns`` gets the ordered window and returns the named expressions. Rows
+    are numbered within their group and cut into runs of ``block_rows``; the
+    few rows near an edge are also sent to the neighbouring run.
     """
-    top, _ = group_extent(df, keys)
-    if top <= task_rows:
-        spec = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[c.alias(n) for n, c in columns(spec).items()])
-
-    reach = max(back, ahead)
-    size = max(task_rows, reach + 1)
-    numbered = running_totals(df, keys, order, {_POS: F.lit(1).cast("bigint")}, task_rows)
+    size = max(block_rows, back + 1, ahead + 1)
+    numbered = running_totals(df, keys, order, {_POS: F.lit(1).cast("bigint")})
     at = F.pmod(F.col(_POS) - 1, F.lit(size))
     home = F.floor((F.col(_POS) - 1) / size)
-    spread = numbered.withColumn(_HOME, home).withColumn(
-        _BLOCK,
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.col(_HOME),
-                    F.when(at < ahead, F.col(_HOME) - 1),
-                    F.when(at >= size - back, F.col(_HOME) + 1),
-                )
-            )
-        ),
-    )
+    runs = F.array(F.col(_HOME), F.when(at < ahead, F.col(_HOME) - 1), F.when(at >= size - back, F.col(_HOME) + 1))
+    spread = numbered.withColumn(_HOME, home).withColumn(_BLOCK, F.explode(F.array_compact(runs)))
     spec = Window.partitionBy(*keys, _BLOCK).orderBy(_POS)
-    return (
-        spread.select(*df.columns, _HOME, _BLOCK, *[c.alias(n) for n, c in columns(spec).items()])
-        .filter(F.col(_HOME) == F.col(_BLOCK))
-        .drop(_HOME, _BLOCK)
-    )
+    looked = spread.select(*df.columns, _HOME, _BLOCK, *[c.alias(n) for n, c in columns(spec).items()])
+    return looked.filter(F.col(_HOME) == F.col(_BLOCK)).drop(_HOME, _BLOCK)

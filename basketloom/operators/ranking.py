@@ -7,67 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketloom.operators.ordered import TASK_ROWS, group_extent, over_neighbours, running_totals
+from basketloom.operators.ordered import over_neighbours, running_totals
 from basketloom.sources.stage import settle
 
 
-def row_numbers(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """1..N along a unique order within each group."""
-    return running_totals(df, by, order, {out: F.lit(1).cast("bigint")}, task_rows)
+    return running_totals(df, by, order, {out: F.lit(1).cast("bigint")})
 
 
-def value_ranks(
-    df: DataFrame, by: Sequence[str], value: str, descending: bool = True, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def value_ranks(df: DataFrame, by: Sequence[str], value: str, descending: bool = True) -> DataFrame:
     """``rank_min``, ``rank_max``, ``rank_average`` and ``rank_dense`` of a value; nulls last.
 
-    Large groups rank the distinct values from their counts, so rows that share
-    a value never meet in one task, and join the ranks back.
+    The distinct values are ranked from their counts, so rows that share a value
+    never meet in one task, and the ranks are joined back.
     """
     by_value = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    top, _ = group_extent(df, by)
-    if top <= task_rows:
-        spec = Window.partitionBy(*by).orderBy(by_value)
-        return df.select(
-            "*",
-            F.rank().over(spec).cast("bigint").alias("rank_min"),
-            # the default frame ends with the last row of equal value
-            F.count(F.lit(1)).over(spec).alias("rank_max"),
-            F.dense_rank().over(spec).cast("bigint").alias("rank_dense"),
-        ).withColumn("rank_average", (F.col("rank_min") + F.col("rank_max")).cast("double") / 2)
     counts = settle(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n")), "values")
-    ranked = running_totals(
-        counts, by, [by_value], {"rank_max": F.col("__n"), "rank_dense": F.lit(1).cast("bigint")}, task_rows
-    )
+    ranked = running_totals(counts, by, [by_value], {"rank_max": F.col("__n"), "rank_dense": F.lit(1).cast("bigint")})
     keys = [*by, value]
-    ranks = settle(
-        ranked.select(
-            *[F.col(k).alias(f"__{k}") for k in keys],
-            (F.col("rank_max") - F.col("__n") + 1).alias("rank_min"),
-            "rank_max",
-            (F.col("rank_max") - (F.col("__n") - 1).cast("double") / 2).alias("rank_average"),
-            "rank_dense",
-        ),
-        "ranks",
+    ranks = ranked.select(
+        *[F.col(k).alias(f"__{k}") for k in keys],
+        (F.col("rank_max") - F.col("__n") + 1).alias("rank_min"),
+        "rank_max",
+        (F.col("rank_max") - (F.col("__n") - 1).cast("double") / 2).alias("rank_average"),
+        "rank_dense",
     )
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return df.join(ranks, same).select(
-        *df.columns, "rank_min", "rank_max", "rank_dense", "rank_average"
-    )
+    return df.join(ranks, same).select(*df.columns, "rank_min", "rank_max", "rank_dense", "rank_average")
 
 
-def cumulative(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def cumulative(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
     """``cumulative_sum`` (null on null rows) and ``expanding_mean`` of an exact column."""
     sums = running_totals(
         df,
         by,
         order,
         {"__sum": F.col(value), "__n": F.when(F.col(value).isNotNull(), 1).otherwise(0)},
-        task_rows,
     )
     return sums.select(
         *df.columns,
@@ -76,15 +52,7 @@ def cumulative(
     )
 
 
-def rolling_mean(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    value: str,
-    rows: int,
-    out: str,
-    task_rows: int = TASK_ROWS,
-) -> DataFrame:
+def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, rows: int, out: str) -> DataFrame:
     """Mean of the last ``rows`` rows; null unless all of them have a value."""
 
     def columns(spec):
@@ -92,12 +60,10 @@ def rolling_mean(
         total = F.sum(value).over(frame).cast("double")
         return {out: F.when(F.count(value).over(frame) == rows, total / rows)}
 
-    return over_neighbours(df, by, order, columns, back=rows - 1, task_rows=task_rows)
+    return over_neighbours(df, by, order, columns, back=rows - 1)
 
 
-def lag_lead(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def lag_lead(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
     """``previous`` and ``next`` value along the order."""
     return over_neighbours(
         df,
@@ -106,7 +72,6 @@ def lag_lead(
         lambda spec: {"previous": F.lag(value).over(spec), "next": F.lead(value).over(spec)},
         back=1,
         ahead=1,
-        task_rows=task_rows,
     )
 
 

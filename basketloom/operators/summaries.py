@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketloom.operators.ordered import TASK_ROWS, running_totals
+from basketloom.operators.ordered import running_totals
 from basketloom.sources.stage import settle
 
 # The percentiles of the long summary, in percent.
@@ -34,7 +34,6 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     names: dict[str, float],
-    task_rows: int = TASK_ROWS,
     interpolate: bool = True,
 ) -> DataFrame:
     """Percentiles per group, without holding a group in one task.
@@ -47,14 +46,14 @@ def exact_percentiles(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")),
         "values",
     )
-    return _at_ranks(counts, keys, [F.col(value)], F.col(value).cast("double"), names, task_rows, interpolate)
+    return _at_ranks(counts, keys, [F.col(value)], F.col(value).cast("double"), names, interpolate)
 
 
 def _at_ranks(
-    counts: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, names: dict[str, float], task_rows: int, interpolate: bool
+    counts: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, names: dict[str, float], interpolate: bool
 ) -> DataFrame:
     """The values at the ranks of the percentiles, from counted values (``__n``) in an order."""
-    ranked = running_totals(counts, keys, order, {"__upto": F.col("__n")}, task_rows)
+    ranked = running_totals(counts, keys, order, {"__upto": F.col("__n")})
     size = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     if keys:
         size = size.select(*[F.col(k).alias(f"__{k}") for k in keys], "__size")
@@ -126,7 +125,7 @@ def selected_percentiles(
     each = rows.select(*by, F.inline(F.array(*[cell(c) for c in columns]))).filter("not __null")
     counts = settle(each.groupBy(*keys, "__cell", "__value").agg(F.count(F.lit(1)).alias("__n")), "cells")
     lost = F.raise_error(F.lit("a percentile lies outside its bracket"))
-    return _at_ranks(counts, keys, [F.col("__cell"), F.col("__value")], F.coalesce("__value", F.when(F.isnull("__value"), lost)), names, TASK_ROWS, interpolate)
+    return _at_ranks(counts, keys, [F.col("__cell"), F.col("__value")], F.coalesce("__value", F.when(F.isnull("__value"), lost)), names, interpolate)
 
 
 def describe_numeric(

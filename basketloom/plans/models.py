@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -16,7 +19,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.operators.ordered import TASK_ROWS, running_totals
+from basketloom.operators.ordered import running_totals
 from basketloom.sources.stage import settle
 
 # The parameters of the forest and of the boosted trees.
@@ -35,7 +38,7 @@ BOOSTED = dict(maxDepth=8, maxIter=16, subsamplingRate=0.7, seed=125)
 SWEEP = range(2, 21)
 
 #: Labelled rows of each class that trees are trained on, about.
-PER_CLASS = 50_000
+PER_CLASS = 10_000
 #: Rows per partition of a cached training set.
 FIT_ROWS = 50_000
 
@@ -118,9 +121,11 @@ def kmeans_sweep(
         score = evaluator.evaluate(model.summary.predictions)
         return k, sum(model.summary.clusterSizes), model.summary.trainingCost, float(score)
 
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(inheritable_thread_target(df.sparkSession)(run), ks)
-    data.unpersist()
+    try:
+        with ThreadPool(parallelism) as pool:
+            rows = pool.map(inheritable_thread_target(df.sparkSession)(run), ks)
+    finally:
+        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, n_rows bigint, sse double, silhouette double")
 
 
@@ -193,41 +198,160 @@ def fixed_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, F.transform(vector, lambda x: F.floor(x.cast("double") * float(UNIT) + 0.5).cast("bigint")).alias("point"))
 
 
-def nearest(centres: Sequence[Sequence[int]]) -> Column:
-    """Struct (d, i) of the nearest centre to ``point``: squared distance and index, the lowest of equals."""
+def _passed(points: DataFrame, models: Sequence[np.ndarray], score: Callable, out: str) -> DataFrame:
+    """What ``score`` adds up over the points for all models, in one pass; one set of rows per task.
 
-    def distance(centre) -> Column:
-        other = F.array(*[F.lit(c).cast("bigint") for c in centre])
-        return F.aggregate(F.zip_with("point", other, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("bigint"), lambda a, d: a + d)
+    ``score`` gets the points of a batch as doubles, which hold every square and
+    product exactly, and what it returned for the batch before.
+    """
+    shared = points.sparkSession.sparkContext.broadcast([np.asarray(m, np.float64) for m in models])
 
-    return F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))
+    def run(batches):
+        total = None
+        for batch in batches:
+            column = batch.column(0)
+            if len(column):
+                total = score(column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1), shared.value, total)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict(total.rows())
 
+    return points.select("point").mapInArrow(run, out)
 
-def exact_kmeans(points: DataFrame, key: str, k: int, iterations: int = 10) -> list[list[int]]:
-    """Centres of ``k`` clusters of (key, point), equal on every machine and partitioning.
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return (x * x).sum(1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(1)
+
+
+class _Moments:
+    """Per model and cluster: rows, squared distances to the centre, squares, and every element, summed.
+
+    The two squares are summed as multiples of HALF and the rest, so that no
+    number of rows overflows.
+    """
+
+    HALF = 1 << 30
+
+    def __init__(self, models):
+        self.sums = [np.zeros((len(c), 5 + c.shape[1]), np.int64) for c in models]
+
+    @classmethod
+    def halves(cls, x: np.ndarray) -> list[np.ndarray]:
+        high = np.floor(x / cls.HALF)
+        return [high, x - high * cls.HALF]
+
+    def rows(self) -> dict[str, np.ndarray]:
+        cells = [(m, i, e, t[i, e]) for m, t in enumerate(self.sums) for i in range(len(t)) for e in range(t.shape[1])]
+        return dict(zip(("model", "cluster", "element", "total"), map(list, zip(*cells))))
+
+
+def _add_moments(x, models, total):
+    total = total or _Moments(models)
+    for sums, centres in zip(total.sums, models):
+        d = _distances(x, centres)
+        own = d.argmin(1)
+        halves = [h for v in (d[np.arange(len(x)), own], (x * x).sum(1)) for h in _Moments.halves(v)]
+        values = np.column_stack([np.ones(len(x)), *halves, x]).astype(np.int64)
+        order = np.argsort(own, kind="stable")
+        found, begin = np.unique(own[order], return_index=True)
+        sums[found] += np.add.reduceat(values[order], begin)
+    return total
+
+
+class _Silhouettes:
+    def __init__(self, models):
+        self.sums = [0.0] * len(models)
+
+    def rows(self):
+        return {"model": list(range(len(self.sums))), "total": self.sums}
+
+
+def _moments(points: DataFrame, models: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """One array of Python integers per model, a row per cluster: rows, squared distances, squares, elements.
+
+    The driver gets no more numbers than the models hold.
+    """
+    rows = _passed(points, models, _add_moments, "model long, cluster long, element long, total long")
+    out = [np.zeros((len(m), 5 + len(m[0])), object) for m in models]
+    for m, i, e, total in rows.groupBy("model", "cluster", "element").agg(F.sum("total")).collect():
+        out[m][i, e] = total
+    whole = lambda t, e: t[:, e] * _Moments.HALF + t[:, e + 1]
+    return [np.column_stack([t[:, 0], whole(t, 1), whole(t, 3), t[:, 5:]]) for t in out]
+
+
+def exact_sweep(points: DataFrame, key: str, ks: Iterable[int], iterations: int = 10) -> dict[int, list[list[int]]]:
+    """Centres of ``k`` clusters of (key, point) for every k, equal on every machine and partitioning.
 
     Lloyd's iterations in whole numbers, from the points of the lowest keys:
     sums are exact, a mean is rounded down, ties go to the lower cluster, an
     empty cluster keeps its centre. Clusters are numbered in the order of their
-    centres. Each iteration is one aggregate with a row per cluster; ``points``
-    should be a stored table. Fewer points than ``k`` give fewer clusters.
+    centres. One pass over the points is one iteration of all models;
+    ``points`` should be a stored table. Fewer points than k give fewer
+    clusters; no points, none.
     """
-    centres = [list(r["point"]) for r in points.orderBy(key).limit(k).collect()]
-    for _ in range(iterations if centres else 0):
-        placed = points.select(nearest(centres)["i"].alias("i"), "point")
-        sums = [F.sum(F.col("point")[j]).alias(f"s{j}") for j in range(len(centres[0]))]
-        moved = [list(c) for c in centres]
-        for i, n, *total in placed.groupBy("i").agg(F.count(F.lit(1)), *sums).collect():
-            moved[i] = [t // n for t in total]
-        if moved == centres:
+    ks = sorted(ks)
+    first = [list(r["point"]) for r in points.orderBy(key).limit(max(ks)).collect()]
+    models = {k: first[:k] for k in ks}
+    open_ = [k for k in ks if first]
+    for _ in range(iterations):
+        if not open_:
             break
-        centres = moved
-    return sorted(centres)
+        for k, sums in zip(list(open_), _moments(points, [models[k] for k in open_])):
+            moved = [[int(t) // int(row[0]) for t in row[3:]] if row[0] else centre for row, centre in zip(sums, models[k])]
+            if moved == models[k]:
+                open_.remove(k)
+            models[k] = moved
+    return {k: sorted(m) for k, m in models.items()}
+
+
+def exact_kmeans(points: DataFrame, key: str, k: int, iterations: int = 10) -> list[list[int]]:
+    """:func:`exact_sweep` for one k."""
+    return exact_sweep(points, key, [k], iterations)[k]
+
+
+def score_sweep(points: DataFrame, models: dict[int, list[list[int]]]) -> DataFrame:
+    """(k, n_rows, sse, silhouette) of all models from two passes over the points.
+
+    The silhouette uses squared Euclidean distances, whose mean to a cluster
+    follows from the cluster's moments; a cluster of one point counts 0.
+    """
+    moments = _moments(points, list(models.values()))
+
+    def add(x, centres, total):
+        total = total or _Silhouettes(centres)
+        for m, (c, sums) in enumerate(zip(centres, moments)):
+            n = sums[:, 0].astype(np.float64)
+            real = n > 0
+            mean = sums[real, 3:].astype(np.float64) / n[real, None]
+            square = sums[real, 2].astype(np.float64) / n[real]
+            apart = (x * x).sum(1)[:, None] - 2 * (x @ mean.T) + square
+            own = (np.cumsum(real) - 1)[_distances(x, c).argmin(1)]
+            at = np.arange(len(x))
+            size = n[real][own]
+            a = apart[at, own] * size / np.maximum(size - 1, 1)
+            apart[at, own] = np.inf
+            b = apart.min(1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                total.sums[m] += float(np.where((size > 1) & (np.maximum(a, b) > 0), (b - a) / np.maximum(a, b), 0.0).sum())
+        return total
+
+    found = _passed(points, list(models.values()), add, "model long, total double").groupBy("model").agg(F.sum("total")).collect()
+    shape = dict(map(tuple, found))
+    rows = []
+    for m, (k, sums) in enumerate(zip(models, moments)):
+        n = sum(int(x) for x in sums[:, 0])
+        rows.append((k, n, sum(int(x) for x in sums[:, 1]) / UNIT**2, shape.get(m, 0.0) / max(n, 1)))
+    return points.sparkSession.createDataFrame(rows, "k int, n_rows bigint, sse double, silhouette double")
 
 
 def place(points: DataFrame, key: str, centres: Sequence[Sequence[int]]) -> DataFrame:
-    """(key, prediction, distance): the cluster of every point and the squared distance to its centre."""
-    found = points.select(key, nearest(centres).alias("__found"))
+    """(key, prediction, distance): the cluster of every point and the squared distance to its centre, ties to the lower."""
+
+    def distance(centre) -> Column:
+        other = F.array(*[F.lit(c).cast("bigint") for c in centre])
+        return F.aggregate(F.zip_with("point", other, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("bigint"), lambda a, d: a + d)
+
+    nearest = F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))
+    found = points.select(key, nearest.alias("__found"))
     return found.select(key, F.col("__found.i").alias("prediction"), (F.col("__found.d") / float(UNIT) / float(UNIT)).alias("distance"))
 
 
@@ -252,7 +376,7 @@ def with_score(predicted: DataFrame) -> DataFrame:
     return predicted.withColumn("score", vector_to_array("probability")[1].cast("float"))
 
 
-def auc_roc(df: DataFrame, label: str, score: str, task_rows: int = TASK_ROWS) -> DataFrame:
+def auc_roc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by rank sums over distinct scores; ties count half, null labels not at all."""
     counts = settle(
         df.filter(F.col(label).isNotNull()).groupBy(score).agg(
@@ -261,7 +385,7 @@ def auc_roc(df: DataFrame, label: str, score: str, task_rows: int = TASK_ROWS) -
         ),
         "scores",
     )
-    below = running_totals(counts, [], [F.col(score)], {"neg_upto": F.col("neg")}, task_rows)
+    below = running_totals(counts, [], [F.col(score)], {"neg_upto": F.col("neg")})
     wins = F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / F.lit(2.0))
     return below.agg(
         F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")

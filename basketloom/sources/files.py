@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,15 @@ def read_csv_gz(
     return df.repartition(parts)
 
 
+def read_named(spark: SparkSession, path: str | list[str], columns: Mapping[str, str]) -> DataFrame:
+    """The named columns of a delimited file with a header, wherever they stand, cast to the given types.
+
+    One pass: nothing is inferred. A value that its type cannot hold is an error.
+    """
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return text.select(*[F.trim(F.col(f"`{c}`")).cast(kind).alias(c) for c, kind in columns.items()])
+
+
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     """Drop columns without a name (``_c8``) and rows that are null throughout."""
     named = [c for c in df.columns if not (c.strip() == "" or (c[:2] == "_c" and c[2:].isdigit()))]

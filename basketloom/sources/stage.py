@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: dict[str, str] = {}
@@ -32,6 +36,41 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_made: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Delete the stage tables made inside when the block ends, also by an error.
+
+    A DataFrame returned from such a block must not be read behind it: write or
+    collect the result inside.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get()
+        _made.reset(token)
+        for spark, path in made:
+            _delete(spark, path)
+
+
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows kept in memory and on disk while the block runs, and released behind it."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -41,6 +80,8 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, label)
+    if (made := _made.get()) is not None:
+        made.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -52,5 +93,4 @@ def discard(*tables: DataFrame) -> None:
         base = shared_dir(spark).split(":", 1)[-1].lstrip("/")
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if base in folder:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(spark, folder)

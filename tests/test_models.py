@@ -1,5 +1,7 @@
 """Models: saved ones score alike, metrics agree with the evaluators."""
 
+import random
+
 import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector
@@ -49,7 +51,7 @@ def test_auc_agrees_with_the_evaluator(spark, sf):
     by_rank = models.auc_roc(df, "label", "score").first().auc
     raw = df.withColumn("rawPrediction", F.col("score").cast("double"))
     assert by_rank == pytest.approx(models.evaluator_auc(raw, "label"), abs=1e-6)
-    assert models.auc_roc(df, "label", "score", task_rows=20).first().auc == by_rank
+    assert models.auc_roc(df, "label", "score").first().auc == by_rank
 
 
 def test_split_depends_on_the_key_alone(spark):
@@ -80,3 +82,71 @@ def test_importances_add_up_and_jobs_score(spark, tmp_path):
     out = jobs.score_latest(spark, str(tmp_path / "f"), str(tmp_path / "m"), str(tmp_path / "out"))
     assert out.count() == 200 and dict(out.dtypes)["score"] == "float"
     assert out.select("week_end").distinct().count() == 1
+
+
+def _lloyd(rows, k, iterations):
+    """The exact fit, point by point; rows are (key, point)."""
+    rows = sorted(rows)
+    centres = [list(p) for _, p in rows[:k]]
+    near = lambda p: min((sum((x - y) ** 2 for x, y in zip(p, c)), i) for i, c in enumerate(centres))
+    for _ in range(iterations):
+        own = [near(p)[1] for _, p in rows]
+        for i in range(len(centres)):
+            mine = [p for (_, p), o in zip(rows, own) if o == i]
+            if mine:
+                centres[i] = [sum(x) // len(mine) for x in zip(*mine)]
+    centres = sorted(centres)
+    return centres, {key: near(p) for key, p in rows}
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rng = random.Random(11)
+    rows = [(i, [rng.randint(-1_000_000, 1_000_000) for _ in range(3)]) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(300 + i, [5, 5, 5]) for i in range(30)]
+    return rows, spark.createDataFrame(rows, "id int, point array<bigint>")
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_exact_sweep_against_plain_python(points, parts):
+    rows, df = points
+    models_ = models.exact_sweep(df.repartition(parts), "id", [2, 5, 9], 6)
+    scores = {r.k: r for r in models.score_sweep(df.repartition(parts), models_).collect()}
+    for k in (2, 5, 9):
+        centres, places = _lloyd(rows, k, 6)
+        assert models_[k] == centres
+        got = {r.id: (r.prediction, r.distance) for r in models.place(df, "id", models_[k]).collect()}
+        assert got == {i: (c, pytest.approx(d / 1e12)) for i, (d, c) in places.items()}
+        assert scores[k].n_rows == len(rows) and scores[k].sse == pytest.approx(sum(d for d, _ in places.values()) / 1e12)
+        predicted = models.place(df, "id", models_[k]).join(df, "id").withColumn("features", array_to_vector(F.col("point").cast("array<double>")))
+        assert scores[k].silhouette == pytest.approx(models.silhouette(predicted, "prediction"))
+
+
+def test_exact_clusters_of_few_or_no_points(spark, points):
+    _, df = points
+    assert models.exact_kmeans(df.filter("id < 2"), "id", 4) == sorted([list(r.point) for r in df.filter("id < 2").collect()])
+    assert models.exact_kmeans(df.limit(0), "id", 4) == []
+
+
+def test_squares_do_not_overflow():
+    import numpy as np
+
+    big = np.full((1000, 9), 1_000_000.0)
+    total = None
+    for _ in range(50):
+        total = models._add_moments(big, [np.full((1, 9), -1_000_000.0)], total)
+    n, high, low = total.sums[0][0, :3].tolist()
+    assert n == 50_000 and high * models._Moments.HALF + low == 50_000 * 9 * 4 * 10**12
+
+
+def test_scaled_points(spark):
+    df = spark.createDataFrame([(1, 2.0, 5), (2, 4.0, 5), (3, 3.0, 5)], "id int, a double, b int")
+    assert {r.id: list(r.point) for r in models.fixed_points(df, "id", ["a", "b"]).collect()} == {1: [0, 500_000], 2: [1_000_000, 500_000], 3: [500_000, 500_000]}
+
+
+def test_training_rows_are_bounded_per_class(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
+    n = {r.y: r["count"] for r in models.bounded_rows(df, "y", ["id"], 3000).groupBy("y").count().collect()}
+    assert n[1] == 2000 and 2800 <= n[0] <= 3200
+    again = models.bounded_rows(df.repartition(9), "y", ["id"], 3000)
+    assert again.exceptAll(models.bounded_rows(df, "y", ["id"], 3000)).count() == 0

@@ -2,12 +2,10 @@
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketloom.operators import ranking, summaries
-from basketloom.operators.ordered import group_extent
-
-SMALL = 37  # rows per task, so that every path for large groups is taken
+from basketloom.operators import ordered, ranking, summaries
 
 
 @pytest.fixture(scope="module")
@@ -22,35 +20,72 @@ def rows(spark):
     return df.select("id", "g", F.col("v").cast("decimal(18,2)").alias("v")).persist()
 
 
+@pytest.fixture(params=[1, 3, 40, 2000])
+def blocks(request, monkeypatch):
+    """From one block for all rows to more blocks than rows."""
+    monkeypatch.setattr(ordered, "MOST_BLOCKS", request.param)
+    monkeypatch.setattr(ordered, "PER_PARTITION", request.param)
+    return request.param
 
 
 def order():
     return [F.col("v").desc_nulls_last(), F.col("id")]
 
 
+def plain(by):
+    return Window.partitionBy(*by).orderBy(*order())
+
+
 def same(a, b):
     assert a.dtypes == b.dtypes
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
 
-def test_the_group_is_hot(rows):
-    top, total = group_extent(rows, ["g"])
-    assert total == 900 and top >= 300 > SMALL
+@pytest.mark.parametrize("by", [["g"], []])
+def test_row_numbers(rows, by, blocks):
+    same(ranking.row_numbers(rows, by, order(), "n"), rows.withColumn("n", F.row_number().over(plain(by)).cast("bigint")))
 
 
-@pytest.mark.parametrize("by", [["g"], []])
-def test_row_numbers(rows, by):
-    same(
-        ranking.row_numbers(rows, by, order(), "n", SMALL),
-        ranking.row_numbers(rows, by, order(), "n"),
-    )
+def test_a_hot_group_is_cut_into_blocks_of_like_size(rows):
+    sizes = ordered.with_blocks(rows, ["g"], order(), 20).groupBy("__block").agg(F.count("*").alias("n"), F.countDistinct("g").alias("g")).collect()
+    hot = ordered.with_blocks(rows, ["g"], order(), 20).filter("g = 'hot'").select("__block").distinct().count()
+    assert len(sizes) == 20 and max(r.n for r in sizes) < 150 and hot >= 5
+
+
+@pytest.mark.parametrize("way", ["asc_nulls_first", "asc_nulls_last", "desc_nulls_first", "desc_nulls_last"])
+def test_blocks_follow_the_order(rows, way, blocks):
+    by = [getattr(F.col("v"), way)(), F.col("id").desc()]
+    cut = ordered.with_blocks(rows, ["g"], by).withColumn("n", F.row_number().over(Window.orderBy("g", *by)))
+    found = [r["__block"] for r in cut.orderBy("n").collect()]
+    assert found == sorted(found) and (len(set(found)) > 1 or blocks == 1)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "double", "float", "boolean", "binary", "smallint", "decimal(38,5)"])
+def test_blocks_of_any_type(spark, kind):
+    base = spark.range(400).select((F.col("id") * 7919 % 400).alias("id"))
+    day = F.date_add(F.lit("1969-12-01").cast("date"), F.col("id").cast("int"))
+    value = {"date": day, "timestamp": day.cast("timestamp"), "boolean": F.col("id") % 2 == 0}.get(kind, F.col("id").cast("string").cast(kind))
+    df = base.select("id", F.when(F.col("id") % 9 != 0, value).alias("x"))
+    got = ordered.running_totals(df, [], [F.col("x"), F.col("id")], {"n": F.lit(1).cast("bigint")}, 16)
+    same(got, df.withColumn("n", F.row_number().over(Window.orderBy("x", "id")).cast("bigint")))
+
+
+def test_orders_are_columns_of_the_table(rows):
+    with pytest.raises(ValueError):
+        ranking.row_numbers(rows, [], [-F.col("id")], "n")
+
+
+def test_no_rows(rows):
+    assert ranking.row_numbers(rows.limit(0), ["g"], order(), "n").collect() == []
 
 
 @pytest.mark.parametrize("by", [["g"], []])
-def test_ranks(rows, by):
-    columns = ["id", "rank_min", "rank_max", "rank_average", "rank_dense"]
-    small = ranking.value_ranks(rows, by, "v", task_rows=SMALL).select(columns)
-    same(small, ranking.value_ranks(rows, by, "v").select(columns))
+def test_ranks(rows, by, blocks):
+    spec = Window.partitionBy(*by).orderBy(F.col("v").desc_nulls_last())
+    want = rows.select(
+        "*", F.rank().over(spec).cast("bigint").alias("rank_min"), F.count(F.lit(1)).over(spec).alias("rank_max"), F.dense_rank().over(spec).cast("bigint").alias("rank_dense"),
+    ).withColumn("rank_average", (F.col("rank_min") + F.col("rank_max")).cast("double") / 2)
+    same(ranking.value_ranks(rows, by, "v"), want)
 
 
 def test_ranks_by_hand(spark):
@@ -60,19 +95,24 @@ def test_ranks_by_hand(spark):
     assert got == {2: (1, 1, 1.0, 1), 1: (2, 3, 2.5, 2), 3: (2, 3, 2.5, 2), 4: (4, 4, 4.0, 3)}
 
 
-def test_cumulative(rows):
-    same(
-        ranking.cumulative(rows, ["g"], order(), "v", SMALL),
-        ranking.cumulative(rows, ["g"], order(), "v"),
-    )
+def test_cumulative(rows, blocks):
+    spec = plain(["g"]).rowsBetween(Window.unboundedPreceding, 0)
+    want = rows.select(
+        "*", F.when(F.col("v").isNotNull(), F.sum("v").over(spec)).alias("cumulative_sum"),
+        F.try_divide(F.sum("v").over(spec).cast("double"), F.count("v").over(spec)).alias("expanding_mean"),
+    )
+    same(ranking.cumulative(rows, ["g"], order(), "v"), want)
 
 
+@pytest.mark.parametrize("run", [2, 37, 5000])
 @pytest.mark.parametrize("by", [["g"], []])
-def test_rolling_mean(rows, by):
-    same(
-        ranking.rolling_mean(rows, by, order(), "v", 7, "m", SMALL),
-        ranking.rolling_mean(rows, by, order(), "v", 7, "m"),
-    )
+def test_neighbours(rows, by, run):
+    """Also runs shorter than the reach."""
+    def columns(spec):
+        return {"far": F.lag("id", 3).over(spec), "next": F.lead("id", 2).over(spec), "sum": F.sum("v").over(spec.rowsBetween(-4, 1))}
+
+    got = ordered.over_neighbours(rows, by, order(), columns, back=4, ahead=2, block_rows=run)
+    same(got, rows.select("*", *[c.alias(n) for n, c in columns(plain(by)).items()]))
 
 
 def test_rolling_mean_by_hand(rows):
@@ -85,27 +125,18 @@ def test_rolling_mean_by_hand(rows):
             last = [x.v for x in group[max(0, i - 6) : i + 1]]
             whole = len(last) == 7 and None not in last
             want[r.id] = float(sum(last)) / 7 if whole else None
-    got = {r.id: r.m for r in ranking.rolling_mean(rows, ["g"], order(), "v", 7, "m", SMALL).collect()}
+    got = {r.id: r.m for r in ranking.rolling_mean(rows, ["g"], order(), "v", 7, "m").collect()}
     assert got == want
 
 
 def test_lag_lead(rows):
-    same(
-        ranking.lag_lead(rows, ["g"], order(), "v", SMALL),
-        ranking.lag_lead(rows, ["g"], order(), "v"),
-    )
-
-
-def test_blocks_smaller_than_the_reach(rows):
-    same(
-        ranking.rolling_mean(rows, ["g"], order(), "v", 7, "m", 2),
-        ranking.rolling_mean(rows, ["g"], order(), "v", 7, "m"),
-    )
+    want = rows.select("*", F.lag("v").over(plain(["g"])).alias("previous"), F.lead("v").over(plain(["g"])).alias("next"))
+    same(ranking.lag_lead(rows, ["g"], order(), "v"), want)
 
 
-def test_percentiles(rows):
+def test_percentiles(rows, blocks):
     names = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
-    got = summaries.exact_percentiles(rows, ["g"], "v", names, task_rows=5)
+    got = summaries.exact_percentiles(rows, ["g"], "v", names)
     want = rows.groupBy("g").agg(
         *[F.percentile(F.col("v").cast("double"), p).alias(n) for n, p in names.items()]
     )

@@ -205,3 +205,27 @@ def test_profile_total_row(spark):
     assert got == [("1", 2, 3.0), ("2", 1, 9.0), ("overall", 3, 5.0)]
     wide = grouping.transpose(grouping.profile_with_total(df, "c", "id", ["x"]), "c", ["1", "2", "overall"])
     assert ("avg_x", 3.0, 9.0, 5.0) in set(map(tuple, wide.collect()))
+
+
+@pytest.mark.parametrize("sketch", [20, 300, 100_000])
+@pytest.mark.parametrize("interpolate", [True, False])
+def test_selected_percentiles_are_exact(spark, sketch, interpolate):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7.5))
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 4 == 0).cast("string")).alias("g"),
+        F.coalesce(hot, F.when(F.col("id") % 11 != 0, F.hash("id") % 10_000 / 7)).alias("a"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("b"), F.lit(None).cast("int").alias("c"), (F.col("id") / 7).alias("d"),
+    ).repartition(6)
+    names = {"p0": 0.0, "p1": 0.001, "p25": 0.25, "p50": 0.5, "p51": 0.51, "p99": 0.999, "p100": 1.0}
+    for by in ([], ["g"]):
+        got = summaries.selected_percentiles(df, ["a", "b", "c", "d"], names, by, interpolate, sketch)
+        want = summaries.exact_percentiles(summaries.long_form(df, ["a", "b", "c", "d"], by), [*by, "column_name"], "value", names, interpolate=interpolate)
+        key = lambda df: sorted(map(str, df.select(*by, "column_name", *names).collect()))
+        assert key(got) == key(want) and got.count() == 3 * (3 if by else 1)
+
+
+def test_selected_percentiles_send_few_values(spark):
+    df = spark.range(200_000).select(F.hash("id").cast("double").alias("a"))
+    summaries.selected_percentiles(df, ["a"], {"p50": 0.5}, sketch=2000).collect()
+    got = summaries.selected_percentiles(df, ["a"], {"p50": 0.5}, sketch=2000).first()["p50"]
+    assert got == df.select(F.percentile("a", 0.5)).first()[0]
