@@ -93,8 +93,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text`` is what is left, with U+FFFD for characters of which a cut left a part."""
     rest = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
-    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text)
 
 
 @_query

@@ -31,7 +31,7 @@ CHUNK, PLACE_BITS = 1 << 19, 20
 #: Runs of one anchor that one task sorts; larger groups are counted window by window.
 SORTED = 2_000
 
-_RUNS = "anchor long, whole long, doc_id long, version int, start int, n int, lead int"
+_RUNS = "anchor long, whole long, doc_id long, version long, start int, n int, lead int"
 _KEY = ["doc_id", "version"]
 
 
@@ -89,7 +89,7 @@ def _runs(docs: DataFrame) -> DataFrame:
             for doc_id, version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for anchor, whole, start, n, lead in anchored_runs(_bytes(text.as_py())):
                     own = np.full(len(start), _NONE if doc_id is None else doc_id, np.int64)
-                    parts = (signed(anchor), signed(whole), own, np.full(len(start), version, np.int32))
+                    parts = (signed(anchor), signed(whole), own, np.full(len(start), version, np.int64))
                     for column, part in zip(held, (*parts, start.astype(np.int32), n.astype(np.int32), lead.astype(np.int32))):
                         column.append(part)
                     size += len(start)
@@ -99,7 +99,7 @@ def _runs(docs: DataFrame) -> DataFrame:
         if size:
             yield flush()
 
-    return docs.select("doc_id", F.hash("text").alias("version"), "text").mapInArrow(run, _RUNS)
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(run, _RUNS)
 
 
 _NONE = np.iinfo(np.int64).min  # stands for a null doc_id inside NumPy arrays
@@ -118,7 +118,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     Equal rows give their runs once each, which is right: their windows are repeated.
     """
     lists = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "copies", "members", "start", "n", "lead")).alias("runs"))
-    texts = docs.select("doc_id", F.hash("text").alias("version"), "text")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
     placed = _same_doc(texts, lists, "inner").select("doc_id", "version", "text", "runs")
 
     def run(batches):
@@ -132,7 +132,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([batch.column(0)[i].as_py()] * len(rows), pa.int64()),
-                        pa.array([batch.column(1)[i].as_py()] * len(rows), pa.int32()),
+                        pa.array([batch.column(1)[i].as_py()] * len(rows), pa.int64()),
                         *[pa.array(c, k) for c, k in zip(columns, kinds)],
                         pa.array(parts, pa.binary()),
                     ],
@@ -140,7 +140,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 )
 
     return placed.mapInArrow(
-        run, "doc_id long, version int, anchor long, copies long, members long, start int, n int, lead int, bytes binary"
+        run, "doc_id long, version long, anchor long, copies long, members long, start int, n int, lead int, bytes binary"
     )
 
 
@@ -229,7 +229,7 @@ def _spans(flags: np.ndarray, start: int) -> list[tuple[int, int]]:
     return [(start + a, start + b + WINDOW - 1) for a, b in zip(edge[::2], edge[1::2])]
 
 
-_SPANS = "doc_id long, version int, begin int, past int"
+_SPANS = "doc_id long, version long, begin int, past int"
 
 
 def _sorted_spans(contexts: DataFrame) -> DataFrame:
@@ -263,7 +263,7 @@ def _sorted_spans(contexts: DataFrame) -> DataFrame:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 4
-    kinds = (pa.int64(), *[pa.int32()] * 3)
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "version", "begin", "past"])
 
 
@@ -277,7 +277,7 @@ def _counted_spans(contexts: DataFrame) -> DataFrame:
                 at = np.arange(n)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc_id] * n, pa.int64()), pa.array([version] * n, pa.int32()), pa.array([anchor] * n, pa.int64()),
+                        pa.array([doc_id] * n, pa.int64()), pa.array([version] * n, pa.int64()), pa.array([anchor] * n, pa.int64()),
                         pa.array(signed(range_hashes(prefix, at, at + WINDOW))), pa.array([copies] * n, pa.int64()),
                         pa.array((at + start).astype(np.int32)),
                     ],
@@ -285,7 +285,7 @@ def _counted_spans(contexts: DataFrame) -> DataFrame:
                 )
 
     columns = ["doc_id", "version", "anchor", "copies", "start", "n", "bytes"]
-    rows = contexts.select(*columns).mapInArrow(run, "doc_id long, version int, anchor long, h long, copies long, begin int")
+    rows = contexts.select(*columns).mapInArrow(run, "doc_id long, version long, anchor long, h long, copies long, begin int")
     twice = rows.groupBy("anchor", "h").agg(F.sum("copies").alias("k")).filter("k > 1").select("anchor", "h")
     return rows.filter("copies = 1").join(twice, ["anchor", "h"], "left_semi").select(
         "doc_id", "version", "begin", (F.col("begin") + WINDOW).alias("past")
@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     what they have in common. Only doc_id and text are read.
     """
     lists = repeated_spans(docs).groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "past")).alias("spans"))
-    rows = docs.select("doc_id", F.hash("text").alias("version"), "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
 
     def run(batches):
         for batch in batches:
