@@ -28,7 +28,7 @@ FOLDED = [f"f{i}" for i in range(4)]
 #: Members compared with one text in one task.
 CHUNK = 256
 #: Sets of a component, and their shingles, that a task which counts links holds per side, about.
-BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Shingles compared at once there.
 WIDTH = 4096
 #: What names a distinct set.
@@ -395,7 +395,7 @@ def _partners(docs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
 
     Linked sets are in one component, so every two sets of a component are
     compared. A component is dealt in blocks, and each two blocks meet in a
-    task, which gives one row per set. Only a link with a set of a document of
+    task, which gives one row per set; a text is sent once per block. Only a link with a set of a document of
     several texts is a row of its own, with the other set's name.
     """
     names = (*SET, "links", *(f"{c}_b" for c in SET))
