@@ -48,18 +48,20 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     three lines stay whole. A text whose lines all occur elsewhere before
     becomes empty. Rows with equal doc_id and text are one document and get the
     same result; null doc_ids are compared by text. An empty table stays empty.
+    Windows are equal if both of their 64-bit hashes are; the lines themselves
+    are not compared. Names that begin with two underscores are reserved.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    gone = repeated_lines(docs).withColumnRenamed("doc_id", "__doc")
+    gone = repeated_lines(docs).withColumnsRenamed({"doc_id": "__doc", "covered": "__covered"})
     rows = docs.select(*own).withColumn("__v", F.xxhash64("text"))
     found = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__v") == F.col("__version")), "left")
     found = found.withColumn("__lines", t.lines(F.col("text")))
-    rest = F.array_except(t.positions(F.size("__lines")), F.col("covered"))
+    rest = F.array_except(t.positions(F.size("__lines")), F.col("__covered"))
     kept = F.array_join(F.transform(rest, lambda i: F.get(F.col("__lines"), i)), "\n")
     return found.select(
-        *[F.when(F.col("covered").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in own],
+        *[F.when(F.col("__covered").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in own],
         F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("__covered"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

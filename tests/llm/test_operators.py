@@ -138,6 +138,15 @@ def test_line_dedup(docs, texts):
     assert rows[11]["n_removed"] == 0 and rows[4]["text"] is None and rows[5]["text"] == ""
 
 
+def test_line_dedup_with_any_column_names(docs):
+    names = ["covered", "first", "pos", "col", "h", "g", "n", "spots", "n_lines", "n_removed", "lines"]
+    wide = docs.drop("kept").withColumns({c: F.lit(f"own {c}") for c in names})
+    got = line_dedup.remove_repeated_lines(wide)
+    plain = line_dedup.remove_repeated_lines(docs.drop("kept"))
+    assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert got.filter("covered = 'own covered' and lines = 'own lines'").count() == docs.count()
+
+
 def test_line_windows_overlap(spark):
     got = line_dedup.remove_repeated_lines(spark.createDataFrame([(1, "a\na\na\na\na"), (2, "\n\n\n\n")], "doc_id long, text string"))
     assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {1: 4, 2: 0}
