@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 #: Ids per shard; only a longer document makes a longer shard.
 SHARD_IDS = 1 << 21
-#: Rounds of pair replacement, new rules per round, and the least count of a replaced pair.
-ROUNDS, PER_ROUND, LEAST = 4, 1 << 11, 16
+#: New rules per round of pair replacement, the least count of a replaced pair, and bits of a counting cell.
+PER_ROUND, LEAST, CELL_BITS = 1 << 11, 16, 20
 #: Words that a worker remembers; a full cache starts afresh.
 CACHE = 1_000_000
 #: Documents encoded together.
@@ -50,42 +50,52 @@ def _code(symbols: np.ndarray, narrow: bool) -> np.ndarray:
 
 
 def _cells(code: np.ndarray, bits: int) -> np.ndarray:
-    odd = code.dtype.type(0x9E3779B1)
+    odd = code.dtype.type(0x9E3779B97F4A7C15 >> (64 - 8 * code.itemsize) | 1)
     return ((code * odd) >> code.dtype.type(8 * code.itemsize - bits)).astype(np.int32)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(code: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent pairs, at most PER_ROUND, sorted, and the places that may hold one; none only if no pair is frequent.
+
+    Cells of a hash are counted first. If the largest cells hold no frequent
+    pair, only sums of rare ones, all cells that could are looked at.
+    """
+    cell = _cells(code, CELL_BITS)
+    sizes = np.bincount(cell[inside], minlength=1 << CELL_BITS)
+    high = int(np.partition(sizes, -PER_ROUND)[-PER_ROUND])
+    for floor in [max(LEAST, high), LEAST][: 1 + (high > LEAST)]:
+        at = np.flatnonzero((sizes >= floor)[cell] & inside)
+        found, times = np.unique(code[at], return_counts=True)
+        chosen = found[np.argsort(-times, kind="stable")[:PER_ROUND]][: int((times >= LEAST).sum())]
+        if len(chosen):
+            break
+    return np.sort(chosen), at
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, document ends in symbols, rules (k, 2) and expansion lengths.
 
     Each round counts the adjacent pairs of the shard and replaces the most
-    frequent ones from left to right by new nonterminals.
+    frequent ones from left to right by new nonterminals, until no pair inside
+    a document occurs LEAST times.
     """
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[ends[ends > 0] - 1] = True
     empty = np.flatnonzero(np.diff(ends, prepend=0) == 0)
     rules, lengths = [], []
-    bits = 20
-    narrow = terminals + rounds * PER_ROUND <= 1 << 16
-    shift = 16 if narrow else 32
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
+        # pairs of 32 bits as long as all symbols fit into 16
+        narrow = terminals + len(lengths) <= 1 << 16
+        shift = 16 if narrow else 32
         code = _code(symbols, narrow)
-        cell = _cells(code, bits)
-        inside = ~last[:-1]
-        sizes = np.bincount(cell[inside], minlength=1 << bits)
-        floor = max(LEAST, int(np.partition(sizes, -PER_ROUND)[-PER_ROUND]))
-        at = np.flatnonzero((sizes >= floor)[cell] & inside)
-        found, times = np.unique(code[at], return_counts=True)
-        chosen = found[np.argsort(-times, kind="stable")[:PER_ROUND]][: int((times >= LEAST).sum())]
+        chosen, at = _frequent(code, ~last[:-1])
         if not len(chosen):
             break
-        chosen.sort()
         place = np.minimum(np.searchsorted(chosen, code[at]), len(chosen) - 1)
         hit = chosen[place] == code[at]
         at, place = at[hit], place[hit]
-        # overlapping matches: every second one of an unbroken run, from its left end
+        # of overlapping matches the first, the third and so on of an unbroken run
         new_run = np.diff(at, prepend=-2) != 1
         begin = at[new_run][np.cumsum(new_run) - 1]
         odd = (at - begin) % 2 == 0

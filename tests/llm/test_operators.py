@@ -244,6 +244,20 @@ def test_repair_round_trip():
     assert len(symbols) < 3000
 
 
+def test_repair_replaces_until_no_pair_is_frequent():
+    r = np.random.default_rng(1)
+    passages = r.integers(0, 50257, (400, 40))
+    ids, ends = passages[r.permutation(np.repeat(np.arange(400), 30))].ravel(), np.arange(1, 12_001) * 40
+    symbols, doc_symbols, rules, lengths = repair_ids.compress(ids, ends, 50257)
+    assert len(symbols) == 12_000 and lengths.max() == 40 and 50257 + len(rules) > 1 << 16
+    mixed = np.concatenate([ids[:40_000], r.integers(0, 300, 60_000), np.zeros(500, np.int64)])
+    symbols, doc_symbols, *_ = repair_ids.compress(mixed, np.array([30_000, 90_000, len(mixed)]), 50257)
+    inside = np.ones(len(symbols), bool)
+    inside[doc_symbols - 1] = False
+    pairs = Counter(zip(symbols[:-1][inside[:-1]].tolist(), symbols[1:][inside[:-1]].tolist()))
+    assert max(pairs.values()) < repair_ids.LEAST
+
+
 def test_token_files(spark, docs, texts):
     from tokenizers import Tokenizer
 
