@@ -350,21 +350,31 @@ def _cuts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, cut long, l long, rest long, rest_size long")
 
 
-def _scored(tokens: DataFrame, levels: list[DataFrame], known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Open phrases of the levels that can still count, with score and cut; and the known counts (phrase, size, f) extended."""
+def _scored(tokens: DataFrame, levels: list[DataFrame], known: DataFrame | None, pool: DataFrame | None, top: int) -> tuple[DataFrame, DataFrame]:
+    """Open phrases of the levels that can still count, with score and cut; and the known counts (phrase, size, f) extended.
+
+    The rest behind a cut occurs no more often than its last word, which bounds
+    a score from below. The ``top``-th of these bounds and of the scores found
+    before settles which phrases need the counts of their rests at all.
+    """
     own = levels[0].select("phrase", "size", F.col("a").alias("f"))
     for level in levels[1:]:
         own = own.unionByName(level.select("phrase", "size", F.col("a").alias("f")))
     known = own if known is None else known.unionByName(own)
-    kept = ["phrase", "size", "lang", "n", "least", "a", "end"]
+    kept = ["phrase", "size", "lang", "n", "a", "end"]
     wide = None
     for k, level in enumerate(levels):
         bound = F.least(_score(f"l{k + 1}", "end"), F.expr("1000 * n div l1"))
-        rows = level.filter(~F.col("closed")).withColumn("bound", bound).filter("least is null or bound >= least").drop("bound", "closed")
+        rows = level.filter(~F.col("closed")).select("*", bound.alias("bound"), _score("l1", "end").alias("low"))
+        rows = rows.filter("least is null or bound >= least").drop("least", "closed")
         wide = rows if wide is None else wide.unionByName(rows, allowMissingColumns=True)
     missing = [c for c in (*_WORDS, *_HEADS) if c not in wide.columns]
-    wide = settle(wide.select("*", *[F.lit(None).cast("long").alias(c) for c in missing]), "open")
-    cuts = settle(_cuts(wide.select(*kept, *_WORDS, *_HEADS)), "cuts")
+    every = settle(wide.select("*", *[F.lit(None).cast("long").alias(c) for c in missing]), "open")
+    sure = every.select("lang", F.col("low").alias("score"))
+    least = settle(_settled(sure if pool is None else sure.unionByName(pool.select("lang", "score")), top), "least")
+    wide = settle(every.join(least, "lang", "left").filter("least is null or bound >= least").select(*kept, *_WORDS, *_HEADS), "open")
+    discard(every)
+    cuts = settle(_cuts(wide), "cuts")
     wanted = cuts.select(F.col("rest").alias("phrase"), F.col("rest_size").alias("size")).distinct()
     unknown = settle(wanted.join(known, ["phrase", "size"], "left_anti"), "unknown")
     if not unknown.isEmpty():
@@ -376,10 +386,9 @@ def _scored(tokens: DataFrame, levels: list[DataFrame], known: DataFrame | None)
     outer = wide.select(*kept, *_WORDS, (F.col("size") - 1).alias("cut"), final.alias("l"), F.col("end").alias("r"))
     each = inner.unionByName(outer).withColumn("score", _score("l", "r"))
     worst = F.min(F.struct("score", "cut", "l", "r"))
-    same = [F.min(c).alias(c) for c in ("lang", "n", "least", "a", *_WORDS)]
+    same = [F.min(c).alias(c) for c in ("lang", "n", "a", *_WORDS)]
     scored = each.groupBy("phrase", "size").agg(worst.alias("worst"), *same)
-    rows = scored.select("phrase", "size", "lang", "n", "least", "a", *_WORDS, "worst.*").filter("least is null or score >= least")
-    return rows.drop("least"), known
+    return scored.select("phrase", "size", "lang", "n", "a", *_WORDS, "worst.*"), known
 
 
 def _settled(pool: DataFrame, top: int) -> DataFrame:
@@ -427,7 +436,7 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
         if first.isEmpty():
             continue
         levels = _levels(tokens, first, vocabulary, last)
-        scored, known = _scored(tokens, levels, known)
+        scored, known = _scored(tokens, levels, known, pool, top)
         rows = scored if pool is None else pool.unionByName(scored)
         fresh = settle(rows, "scored")
         least = settle(_settled(fresh, top), "least")
