@@ -5,7 +5,9 @@ so one region holding a third of all rows would be one task's work. Here the
 rows are cut, by key and order, into blocks of about equal size, whatever group
 they belong to; a scan in two levels adds the totals of a group's earlier blocks
 to the running totals inside a block. The bounds of the blocks come from a
-sample, so they shape the tasks and never the result.
+sample, so they shape the tasks and never the result. Their number follows from
+the bytes that the plan reads: a table that fits into one block is one plain
+window, and no sample is taken.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
-#: Blocks per shuffle partition, and the most of them; sampled rows per block.
-PER_PARTITION, MOST_BLOCKS, SAMPLED = 2, 4096, 16
+#: Bytes read per block; the most blocks per shuffle partition, and at all; sampled rows per block.
+BLOCK_BYTES, PER_PARTITION, MOST_BLOCKS, SAMPLED = 16 << 20, 2, 4096, 16
 #: Consecutive rows of a group that are looked at together, where rows look at their neighbours.
 BLOCK_ROWS = 1_000_000
 
@@ -57,19 +59,39 @@ def _places(df: DataFrame, order: Sequence[Column]) -> list[_Place]:
     return out
 
 
+def _blocks(df: DataFrame) -> int:
+    """How many blocks the bytes of the tables behind the plan ask for; of no known size, the most."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    most = min(MOST_BLOCKS, PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(most, -(-size // BLOCK_BYTES)))
+
+
 def _bounds(df: DataFrame, places: Sequence[_Place], blocks: int) -> list[Row]:
     """At most ``blocks`` - 1 rows, in order, that cut the table into parts of about equal size.
 
     One row with the least hash is kept per cell of a hash; that takes one
     combining aggregate, needs no count, and depends on the rows alone.
     """
+    if blocks < 2:
+        return []
     names = [f"`{p.name}`" for p in places]
     cell = F.pmod(F.xxhash64(*names), F.lit(blocks * SAMPLED))
     picked = df.groupBy(cell.alias("cell")).agg(F.min_by(F.struct(*names), F.xxhash64(F.lit(1), *names)).alias("row"))
-    rows = picked.select("row.*").orderBy(*[p.column() for p in places]).collect()
+    rows = picked.select("row.*").collect()
+    for i, p in reversed(list(enumerate(places))):  # stable, so the last column first
+        rows.sort(key=lambda r: _rising(r[i]), reverse=p.down)  # noqa: B023
+        rows.sort(key=lambda r: (r[i] is None) == p.nulls_last)  # noqa: B023
     return [rows[len(rows) * k // blocks] for k in range(1, blocks) if len(rows) * k // blocks != len(rows) * (k - 1) // blocks]
 
 
+def _rising(value) -> tuple:
+    """A key in Spark's order: not-a-number is above all numbers; nulls are placed elsewhere."""
+    if value is None:
+        return (0,)
+    return (2,) if value != value else (1, value)
+
+
 def _block(df: DataFrame, places: Sequence[_Place], bounds: Sequence[Row]) -> Column:
     """How many bounds a row does not come before, found in two steps of about sqrt(bounds) comparisons."""
     if not bounds:
@@ -99,10 +121,8 @@ def _kind(places: Sequence[_Place], kinds: Mapping) -> str:
     return "array<struct<" + ", ".join(f"c{i}: {kinds[p.name].simpleString()}" for i, p in enumerate(places)) + ">>"
 
 
-def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], blocks: int | None = None) -> DataFrame:
+def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], blocks: int) -> DataFrame:
     """Add ``__block``, which never falls along the order of the keys and then of ``order``."""
-    if blocks is None:
-        blocks = min(MOST_BLOCKS, PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     places = [*[_Place(k) for k in keys], *_places(df, order)]
     return df.withColumn(_BLOCK, _block(df, places, _bounds(df, places, blocks)))
 
@@ -117,12 +137,17 @@ def running_totals(
     order of addition.
 
     Every block of a group starts from the sum of the group's earlier blocks,
-    put in front as one extra row. ``df`` is read three times, twice for the
-    columns of the order alone; store it first if it is expensive.
+    put in front as one extra row. With more than one block ``df`` is read three
+    times, twice for the columns of the order alone; store it first if it is
+    expensive.
     """
     kinds = df.select(*[c.alias(n) for n, c in totals.items()]).dtypes
     if inexact := [n for n, kind in kinds if kind in ("double", "float")]:
         raise ValueError(f"sums of doubles depend on the order of addition: {inexact}")
+    blocks = _blocks(df) if blocks is None else blocks
+    if blocks == 1:
+        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(frame).alias(n) for n, c in totals.items()])
     cut = with_blocks(df, keys, order, blocks).withColumns(dict(totals))
     before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     # one row per group and block: groups and blocks together bound their number
@@ -150,6 +175,9 @@ def over_neighbours(
     are numbered within their group and cut into runs of ``block_rows``; the
     few rows near an edge are also sent to the neighbouring run.
     """
+    if _blocks(df) == 1:
+        spec = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[c.alias(n) for n, c in columns(spec).items()])
     size = max(block_rows, back + 1, ahead + 1)
     numbered = running_totals(df, keys, order, {_POS: F.lit(1).cast("bigint")})
     at = F.pmod(F.col(_POS) - 1, F.lit(size))

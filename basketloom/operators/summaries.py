@@ -58,7 +58,7 @@ def _at_ranks(
     if keys:
         size = size.select(*[F.col(k).alias(f"__{k}") for k in keys], "__size")
         same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-        ranked = ranked.join(settle(size, "sizes"), same)
+        ranked = ranked.join(size, same)
     else:
         ranked = ranked.withColumn("__size", size.select("__size").scalar())
 
@@ -105,22 +105,19 @@ def selected_percentiles(
     wide = [min(max(p + d, 0.0), 1.0) for p in names.values() for d in (-4 / sketch, 4 / sketch)]
     cells = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     ends = F.array(*[F.lit(p) for p in wide])
-    found = settle(
-        cells.groupBy(*by).agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, ends, sketch).alias("ends")).alias(f"__{c}") for c in columns]),
-        "brackets",
-    ).select(*[F.col(k).alias(f"__by_{k}") for k in by], *[f"__{c}" for c in columns])
+    found = cells.groupBy(*by).agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, ends, sketch).alias("ends")).alias(f"__{c}") for c in columns])
     if by:
+        sets = [_with_cells(F.col(f"__{c}"), sketch).alias(f"__{c}") for c in columns]
+        found = settle(found, "brackets").select(*[F.col(k).alias(f"__by_{k}") for k in by], *sets)
         rows = cells.join(found, [F.col(k).eqNullSafe(F.col(f"__by_{k}")) for k in by])
+        placed = {c: _cell(F.col(c), F.col(f"__{c}")) for c in columns}
     else:
-        rows = cells.select("*", *[found.select(f"__{c}").scalar().alias(f"__{c}") for c in columns])
+        row, rows = found.first(), cells
+        placed = {c: _known_cell(c, row[f"__{c}"]["n"] <= sketch, row[f"__{c}"]["ends"] or []) for c in columns}
 
     def cell(c: str) -> Column:
-        x, n, limits = F.col(c), F.col(f"__{c}")["n"], F.col(f"__{c}")["ends"]
-        # even between two ends, odd on one of them, so cells stand in the order of the values
-        place = F.size(F.filter(limits, lambda e: e < x)) + F.size(F.filter(limits, lambda e: e <= x))
-        low, high = (F.filter(limits, lambda e, i: i % 2 == side) for side in (0, 1))  # noqa: B023
-        inside = (n <= sketch) | F.exists(F.arrays_zip(low.alias("low"), high.alias("high")), lambda b: (b["low"] <= x) & (x <= b["high"]))
-        return F.struct(F.lit(c).alias("column_name"), place.alias("__cell"), F.when(inside, x).alias("__value"), x.isNull().alias("__null"))
+        value = F.when(placed[c]["inside"], F.col(c))
+        return F.struct(F.lit(c).alias("column_name"), placed[c]["cell"].alias("__cell"), value.alias("__value"), F.col(c).isNull().alias("__null"))
 
     each = rows.select(*by, F.inline(F.array(*[cell(c) for c in columns]))).filter("not __null")
     counts = settle(each.groupBy(*keys, "__cell", "__value").agg(F.count(F.lit(1)).alias("__n")), "cells")
@@ -128,6 +125,43 @@ def selected_percentiles(
     return _at_ranks(counts, keys, [F.col("__cell"), F.col("__value")], F.coalesce("__value", F.when(F.isnull("__value"), lost)), names, interpolate)
 
 
+def _with_cells(found: Column, sketch: int) -> Column:
+    """The distinct ends of brackets (low, high, low, high ..) in order, and which cells lie in one; see :func:`_cell`."""
+    ends = F.array_sort(F.array_distinct(found["ends"]))
+    low, high = (F.filter(found["ends"], lambda e, i: i % 2 == side) for side in (0, 1))  # noqa: B023
+    brackets = F.arrays_zip(low.alias("low"), high.alias("high"))
+    between = F.zip_with(F.slice(ends, 1, F.size(ends) - 1), F.slice(ends, 2, F.size(ends)), lambda a, b: F.exists(brackets, lambda x: (x["low"] <= a) & (b <= x["high"])))
+    return F.struct(ends.alias("ends"), between.alias("between"), (found["n"] <= sketch).alias("all"))
+
+
+def _cell(x: Column, found: Column) -> Column:
+    """Struct (cell, inside): cells are even between two ends and odd on one, so they stand in the order of the values."""
+    cell = F.size(F.filter(found["ends"], lambda e: e < x)) + F.size(F.filter(found["ends"], lambda e: e <= x))
+    between = F.coalesce(F.get(found["between"], (cell / 2).cast("int") - 1), F.lit(False))
+    return F.struct(cell.alias("cell"), (found["all"] | (cell % 2 == 1) | between).alias("inside"))
+
+
+def _known_cell(name: str, whole: bool, brackets: Sequence[float]) -> Column:
+    """:func:`_cell` for brackets that are known: a tree of comparisons, as one SQL expression."""
+    pairs = list(zip(brackets[::2], brackets[1::2]))
+    ends = sorted(set(brackets), key=lambda e: (e != e, e))
+    held = [any(low <= a and b <= high for low, high in pairs) for a, b in zip(ends, ends[1:])]
+    inside = [c % 2 == 1 or whole or (0 < c // 2 < len(ends) and held[c // 2 - 1]) for c in range(2 * len(ends) + 1)]
+
+    def tree(first: int, past: int) -> str:
+        """Of values above all ends before ``first`` and below all from ``past``."""
+        if first == past:
+            return str(2 * first)
+        middle = (first + past) // 2
+        end = f"double('{float(ends[middle])!r}')"
+        return (
+            f"CASE WHEN `{name}` < {end} THEN {tree(first, middle)} WHEN `{name}` = {end} THEN {2 * middle + 1} ELSE {tree(middle + 1, past)} END"
+        )
+
+    cell = F.expr(tree(0, len(ends)))
+    return F.struct(cell.alias("cell"), F.get(F.lit(inside), cell).alias("inside"))
+
+
 def describe_numeric(
     df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from basketloom.operators.grouping import listed, pivot_multi, pivot_single, ratio, share_of_total
 from basketloom.plans.enrich import cents, enrich, from_cents
-from basketloom.sources.stage import settle
 
 _OVERALL = [
     "sales", "qty", "orders", "unique_products_bought", "unique_payments_used", "unique_categories_bought",
@@ -17,37 +16,33 @@ _OVERALL = [
 _RATIOS = ["aov", "aur", "upt"]
 
 
-def _distinct() -> dict[str, Column]:
-    return {
-        "orders": F.countDistinct("order_id"),
-        "unique_products_bought": F.countDistinct("product_id"),
-        "unique_payments_used": F.countDistinct("payment_type_id"),
-        "unique_categories_bought": F.countDistinct("category"),
-    }
-
-
 def derived_ratios() -> dict[str, Column]:
     return {"aov": ratio("sales", "orders"), "aur": ratio("sales", "qty"), "upt": ratio("qty", "orders")}
 
 
-def _stored_rows(enriched: DataFrame) -> DataFrame:
-    """The columns the aggregates need, written once for several passes."""
-    columns = ["customer_id", "order_id", "product_id", "payment_type_id", "category", "pay", "qty"]
-    return settle(enriched.select(*columns, cents("dollars").alias("cents")), "enriched")
-
-
-def _totals(rows: DataFrame, parts: dict[str, Column]) -> DataFrame:
-    """Sums and distinct counts per customer, in two aggregates.
+def _totals(enriched: DataFrame, categories: Sequence[str] = (), payments: Sequence[str] = ()) -> DataFrame:
+    """Per customer: cents, qty, the distinct counts, and the sums per listed category and payment type.
 
-    The sums combine well before the shuffle and the distinct counts send
-    narrow rows only; in one aggregate every distinct column would repeat all
-    sum buffers. They are joined as one row per customer, null included.
+    Sums go up three nested groupings, customer by category by product, so the
+    products and categories of a customer are counted as groups, and no row is
+    multiplied; a product has one category, as ``enrich`` gives it. Orders and
+    payment types are counted beside them from three narrow columns, which need
+    none of the joins. Nothing is stored in between.
     """
-    sums = rows.groupBy("customer_id").agg(
-        F.sum("cents").alias("cents"), F.sum("qty").alias("qty"), *[c.alias(n) for n, c in parts.items()]
-    )
-    distinct = rows.groupBy(F.col("customer_id").alias("__id")).agg(
-        *[c.alias(n) for n, c in _distinct().items()]
+    names = {p: f"pay_{p}" for p in payments}
+    rows = enriched.select("customer_id", "category", "product_id", "pay", "qty", cents("dollars").alias("cents"))
+    own = {"cents": F.col("cents"), "qty": F.col("qty")} | {n: F.when(F.col("pay") == p, F.col("cents")) for p, n in names.items()}
+    by_product = rows.groupBy("customer_id", "category", "product_id").agg(*[F.sum(x).alias(n) for n, x in own.items()])
+    summed = [F.sum(n).alias(n) for n in own]
+    by_category = by_product.groupBy("customer_id", "category").agg(*summed, F.count("product_id").alias("unique_products_bought"))
+    here = {c: F.col("category") == c for c in categories}
+    sums = by_category.groupBy("customer_id").agg(
+        *summed, F.sum("unique_products_bought").alias("unique_products_bought"), F.count("category").alias("unique_categories_bought"),
+        *[F.sum(F.when(is_, F.col("cents"))).alias(f"{c}_cat_sales") for c, is_ in here.items()],
+        *[F.sum(F.when(is_, F.col("qty"))).alias(f"{c}_cat_units") for c, is_ in here.items()],
+    )
+    distinct = enriched.groupBy(F.col("customer_id").alias("__id")).agg(
+        F.countDistinct("order_id").alias("orders"), F.countDistinct("payment_type_id").alias("unique_payments_used")
     )
     totals = sums.join(distinct, F.col("customer_id").eqNullSafe(F.col("__id"))).drop("__id")
     return totals.withColumn("sales", from_cents(F.col("cents")))
@@ -55,8 +50,7 @@ def _totals(rows: DataFrame, parts: dict[str, Column]) -> DataFrame:
 
 def overall_features(enriched: DataFrame) -> DataFrame:
     """Totals, distinct counts and the three ratios."""
-    totals = _totals(_stored_rows(enriched), {})
-    return totals.select("customer_id", *_OVERALL, *[c.alias(n) for n, c in derived_ratios().items()])
+    return _totals(enriched).select("customer_id", *_OVERALL, *[c.alias(n) for n, c in derived_ratios().items()])
 
 
 def category_share_features(enriched: DataFrame, categories: Sequence[str]) -> DataFrame:
@@ -92,36 +86,22 @@ def customer_features(
     aggregate, pivot and join. A category or payment type that is not listed is
     an error.
     """
-    parts = {}
-    for c in categories:
-        here = F.col("category") == c
-        parts[f"{c}_cat_sales"] = (F.sum(F.when(here, F.col("cents"))), True)
-        parts[f"{c}_cat_units"] = (F.sum(F.when(here, F.col("qty"))), False)
-    for p in payments:
-        parts[f"pay_{p}"] = (F.sum(F.when(F.col("pay") == p, F.col("cents"))), True)
-    rows = _stored_rows(listed(listed(enrich(sales, product, payment), "category", categories), "pay", payments))
-    totals = _totals(rows, {n: c for n, (c, _) in parts.items()})
-    features = totals.select(
+    rows = listed(listed(enrich(sales, product, payment), "category", categories), "pay", payments)
+    money = {f"{c}_cat_sales" for c in categories} | {f"pay_{p}" for p in payments}
+    features = _totals(rows, categories, payments).select(
         "customer_id",
         *_OVERALL,
         *[c.alias(n) for n, c in derived_ratios().items()],
-        *[
-            (ratio(from_cents(F.col(n)), "sales") if money else ratio(n, "qty")).alias(n)
-            for n, (_, money) in parts.items()
-        ],
+        *[ratio(from_cents(F.col(n)), "sales").alias(n) if n in money else ratio(n, "qty").alias(n) for n in _share_names(categories, payments)],
     )
     flags = customer.select("customer_id", "email_subscribed", "omni_shopper")
     return features.join(flags, "customer_id", "left")
 
 
+def _share_names(categories: Sequence[str], payments: Sequence[str]) -> list[str]:
+    return [f"{c}_cat_{kind}" for c in categories for kind in ("sales", "units")] + [f"pay_{p}" for p in payments]
+
+
 def feature_names(categories: Sequence[str], payments: Sequence[str]) -> list[str]:
     """26 names for five categories and five payment types."""
-    shares = [f"{c}_cat_{kind}" for c in categories for kind in ("sales", "units")]
-    return [
-        *_OVERALL,
-        *_RATIOS,
-        *shares,
-        *[f"pay_{p}" for p in payments],
-        "email_subscribed",
-        "omni_shopper",
-    ]
+    return [*_OVERALL, *_RATIOS, *_share_names(categories, payments), "email_subscribed", "omni_shopper"]

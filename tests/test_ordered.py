@@ -25,6 +25,7 @@ def blocks(request, monkeypatch):
     """From one block for all rows to more blocks than rows."""
     monkeypatch.setattr(ordered, "MOST_BLOCKS", request.param)
     monkeypatch.setattr(ordered, "PER_PARTITION", request.param)
+    monkeypatch.setattr(ordered, "BLOCK_BYTES", 1)
     return request.param
 
 
@@ -55,7 +56,7 @@ def test_a_hot_group_is_cut_into_blocks_of_like_size(rows):
 @pytest.mark.parametrize("way", ["asc_nulls_first", "asc_nulls_last", "desc_nulls_first", "desc_nulls_last"])
 def test_blocks_follow_the_order(rows, way, blocks):
     by = [getattr(F.col("v"), way)(), F.col("id").desc()]
-    cut = ordered.with_blocks(rows, ["g"], by).withColumn("n", F.row_number().over(Window.orderBy("g", *by)))
+    cut = ordered.with_blocks(rows, ["g"], by, blocks).withColumn("n", F.row_number().over(Window.orderBy("g", *by)))
     found = [r["__block"] for r in cut.orderBy("n").collect()]
     assert found == sorted(found) and (len(set(found)) > 1 or blocks == 1)
 
@@ -70,6 +71,22 @@ def test_blocks_of_any_type(spark, kind):
     same(got, df.withColumn("n", F.row_number().over(Window.orderBy("x", "id")).cast("bigint")))
 
 
+def test_blocks_follow_from_the_bytes_that_are_read(spark, rows, monkeypatch, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("g", F.col("id") % 3)
+    assert ordered._blocks(df) == 1 and ordered._blocks(rows.sparkSession.createDataFrame(rows.rdd, rows.schema)) == 16
+    plan = lambda: ranking.row_numbers(df, ["g"], [F.col("id")], "n")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan()
+    monkeypatch.setattr(ordered, "BLOCK_BYTES", 1000)
+    assert ordered._blocks(df) > 3 and "Union" in plan()
+
+
+def test_not_a_number_is_above_all_numbers(spark, blocks):
+    df = spark.range(300).select("id", F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).when(F.col("id") % 5 != 0, F.col("id") * 1.5 - 90).alias("x"))
+    got = ordered.running_totals(df, [], [F.col("x").desc(), F.col("id")], {"n": F.lit(1).cast("bigint")}, blocks)
+    same(got, df.withColumn("n", F.row_number().over(Window.orderBy(F.col("x").desc(), "id")).cast("bigint")))
+
+
 def test_orders_are_columns_of_the_table(rows):
     with pytest.raises(ValueError):
         ranking.row_numbers(rows, [], [-F.col("id")], "n")
