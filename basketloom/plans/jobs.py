@@ -42,7 +42,7 @@ SALES = {
 }
 PRODUCT = {"product_id": "bigint", "category": "string"}
 PAYMENT = {"payment_type_id": "int", "payment_type": "string"}
-CUSTOMER = {"customer_id": "bigint", "age": "int", "hh_income": "bigint", "omni_shopper": "int", "email_subscribed": "int"}
+CUSTOMER = {"customer_id": "bigint", "age": "int", "hh_income": "decimal(18,2)", "omni_shopper": "int", "email_subscribed": "int"}
 LABEL = "purchase_flag_next_4w"
 
 

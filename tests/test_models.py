@@ -150,3 +150,14 @@ def test_training_rows_are_bounded_per_class(spark):
     assert n[1] == 2000 and 2800 <= n[0] <= 3200
     again = models.bounded_rows(df.repartition(9), "y", ["id"], 3000)
     assert again.exceptAll(models.bounded_rows(df, "y", ["id"], 3000)).count() == 0
+
+
+@pytest.mark.parametrize("fit", [models.fit_forest, models.fit_boosted])
+def test_full_size_trees_learn_what_can_be_learned(spark, fit):
+    """Held-out rows of a label that follows two features, a tenth of it at random."""
+    x, y = (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000 for k in (1, 2))
+    noise = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(10)) == 0
+    rows = models.hash_split(spark.range(3000).select("id", x.alias("x"), y.alias("y"), F.rand(5).alias("z"), ((F.col("id") * 0 + x + y > 1) != noise).cast("int").alias("label")), ["id"])
+    data = models.assemble(rows, ["x", "y", "z"]).persist()
+    model = fit(models.bounded_rows(data.filter("is_train = 1"), "label", ["id"]), "label")
+    assert models.evaluator_auc(model.transform(data.filter("is_train = 0")), "label") > 0.8
