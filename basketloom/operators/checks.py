@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketloom.operators.ordered import spread
+
 
 def _is_missing(df: DataFrame, name: str) -> Column:
     floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
@@ -55,8 +57,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def grain_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows against distinct keys; null is one more key value."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """Rows against distinct keys; null is one more key value.
+
+    Keys are about as many as rows, so only they are dealt, over tasks of like size.
+    """
+    per_key = spread(df.select(*keys), *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_groups")
     ).withColumn("is_key", (F.col("n_rows") == F.col("n_groups")).cast("int"))

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 #: Bytes read per block; the most blocks per shuffle partition, and at all; sampled rows per block.
 BLOCK_BYTES, PER_PARTITION, MOST_BLOCKS, SAMPLED = 16 << 20, 2, 4096, 16
+#: Bytes read per task where rows are dealt for an aggregate that holds about one group per row.
+SPREAD_BYTES = 4 << 20
+#: The planner gives a table of no known size more bytes than this.
+UNKNOWN = 1 << 60
 #: Consecutive rows of a group that are looked at together, where rows look at their neighbours.
 BLOCK_ROWS = 1_000_000
 
@@ -59,12 +63,27 @@ def _places(df: DataFrame, order: Sequence[Column]) -> list[_Place]:
     return out
 
 
+def bytes_read(df: DataFrame) -> int:
+    """Bytes of the tables behind the plan, as the planner knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def _blocks(df: DataFrame) -> int:
     """How many blocks the bytes of the tables behind the plan ask for; of no known size, the most."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     most = min(MOST_BLOCKS, PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(1, min(most, -(-size // BLOCK_BYTES)))
+    return max(1, min(most, -(-bytes_read(df) // BLOCK_BYTES)))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by the keys over tasks of ``SPREAD_BYTES`` read each, so that a task's memory stays the same.
+
+    Group by these keys or more behind it: that needs no further exchange. A plan of
+    no known size gets the session's number of shuffle partitions.
+    """
+    size = bytes_read(df)
+    parts = -(-size // SPREAD_BYTES) if size < UNKNOWN else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(MOST_BLOCKS, parts)), *keys)
 
 
 def _bounds(df: DataFrame, places: Sequence[_Place], blocks: int) -> list[Row]:
