@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from basketloom.operators import checks, ordered
+from basketloom.plans import customers
 
 
 def _plan(df):
@@ -31,3 +32,18 @@ def test_grain_is_counted_on_dealt_keys(spark):
     assert tuple(checks.grain_check(df, ["c"]).first()) == (6, 6, 1)
     assert tuple(checks.grain_check(df.filter("a > 9"), ["a"]).first()) == (0, 0, 1)
     assert "REPARTITION_BY_NUM" in _plan(table)
+
+
+def test_customer_sums_hold_no_groups_in_front_of_the_exchange(spark):
+    schema = "customer_id int, category string, product_id int, pay string, qty int, dollars decimal(18,2), order_id int, payment_type_id int"
+    rows = [
+        (1, "A", 1, "cash", 2, 1, 1, 1), (1, "A", 1, "card", 1, 2, 2, 2), (1, "B", 2, "cash", None, 3, 2, 1),
+        (1, None, None, None, 4, None, None, None), (None, "A", 1, "cash", 5, 7, 3, 1),
+    ]
+    df = spark.createDataFrame([(*r[:5], None if r[5] is None else f"{r[5]}.50", *r[6:]) for r in rows], schema.replace("decimal(18,2)", "string"))
+    df = df.withColumn("dollars", F.col("dollars").cast("decimal(18,2)"))
+    table = customers.overall_features(df)
+    got = {r.customer_id: tuple(r)[1:7] for r in table.collect()}
+    # sales, qty, orders, products, payments, categories
+    assert got == {1: (7.5, 7, 2, 2, 2, 2), None: (7.5, 5, 1, 1, 1, 1)}
+    assert "REPARTITION_BY_NUM" in _plan(table)
