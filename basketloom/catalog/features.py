@@ -11,7 +11,7 @@ from basketloom.catalog import views as v
 from basketloom.catalog.grouping import enriched
 from basketloom.catalog.registry import query
 from basketloom.plans import customers, panel
-from basketloom.sources.stage import settle
+from basketloom.sources.stage import compiled, settle
 
 _C, _P = v.CATEGORIES, v.PAYMENTS
 _BASE = panel.base_columns(_C, _P)
@@ -254,7 +254,9 @@ def _(spark, sf):
 
 @query("trailing_features", _totals_of("rolled", _TRAILING), "rolled")
 def _(spark, sf):
-    return totals(trailing(spark, sf), _TRAILING)
+    """All trailing sums; run here, since 68 columns in one generated method are not compiled."""
+    with compiled(spark):
+        return settle(totals(trailing(spark, sf), _TRAILING), "totals")
 
 
 @query("trailing_ratios", _totals_of("features", list(_RATIOS)), "features")

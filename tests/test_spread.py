@@ -2,8 +2,13 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from basketloom.catalog import features
+from basketloom.catalog.registry import QUERIES
 from basketloom.operators import checks, ordered
 from basketloom.plans import customers
+from basketloom.sources import stage
 
 
 def _plan(df):
@@ -47,3 +52,15 @@ def test_customer_sums_hold_no_groups_in_front_of_the_exchange(spark):
     # sales, qty, orders, products, payments, categories
     assert got == {1: (7.5, 7, 2, 2, 2, 2), None: (7.5, 5, 1, 1, 1, 1)}
     assert "REPARTITION_BY_NUM" in _plan(table)
+
+
+def test_wide_totals_run_in_methods_that_are_compiled(spark, sf, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    real = features.settle
+    monkeypatch.setattr(features, "settle", lambda df, label: seen.append((label, spark.conf.get(name))) or real(df, label))
+    assert QUERIES["trailing_features"](spark, sf).count() > 0
+    assert ("totals", str(stage.COMPILED)) in seen and spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError), stage.compiled(spark):
+        1 / 0
+    assert spark.conf.get(name) == before
