@@ -103,13 +103,19 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], file_rows: in
 
 
 def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """The folder with the greatest value of a partition column; the other folders are listed, not read."""
+    """The folder with the greatest value of a partition column; the other folders are listed, not read.
+
+    A table that is not in folders by the column is read for its rows of the greatest value.
+    """
     base = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
     values = [name[len(column) + 1 :] for f in found if (name := f.getPath().getName()).startswith(f"{column}=")]
     values = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
     if not values:
-        raise ValueError(f"{path} has no folders of {column}")
+        table = spark.read.parquet(path)
+        if column not in table.columns:
+            raise ValueError(f"{path} has neither folders nor a column of {column}")
+        return table.filter(F.col(column) == table.agg(F.max(column)).scalar())
     return spark.read.option("basePath", path).parquet(f"{path}/{column}={max(values)}")
 
 
