@@ -161,3 +161,15 @@ def test_full_size_trees_learn_what_can_be_learned(spark, fit):
     data = models.assemble(rows, ["x", "y", "z"]).persist()
     model = fit(models.bounded_rows(data.filter("is_train = 1"), "label", ["id"]), "label")
     assert models.evaluator_auc(model.transform(data.filter("is_train = 0")), "label") > 0.8
+
+
+def test_fit_partitions_follow_the_training_rows(spark):
+    """However many partitions the table has; a fit sends statistics from each of them."""
+    df = spark.range(0, 20_000, 1, 37).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
+    rows = models.training_rows(df, "y", ["id"], 3000)
+    try:
+        assert rows.rdd.getNumPartitions() == 1
+        assert sorted(rows.collect()) == sorted(models.bounded_rows(df, "y", ["id"], 3000).collect())
+        assert models.settled_input(rows, "id", rows=2000).rdd.getNumPartitions() == 3
+    finally:
+        rows.unpersist()
