@@ -173,3 +173,15 @@ def test_fit_partitions_follow_the_training_rows(spark):
         assert models.settled_input(rows, "id", rows=2000).rdd.getNumPartitions() == 3
     finally:
         rows.unpersist()
+
+
+def test_scores_of_dense_vectors_are_those_of_sparse_ones(spark):
+    """And the forest sees dense ones, in which it need not search."""
+    columns = [f"c{i}" for i in range(12)]
+    df = spark.range(400).select("id", *[F.when(F.col("id") % 12 == i, F.col("id") % 7).otherwise(0).cast("double").alias(c) for i, c in enumerate(columns)])
+    data = models.assemble(df.withColumn("y", (F.col("id") % 7 > 3).cast("int")), columns)
+    forest = models.fit_forest(data, "y", numTrees=3, maxDepth=4, minInstancesPerNode=1)
+    plain, dense = (d.orderBy("id").collect() for d in (forest.transform(data), models.predict(forest, data)))
+    assert {type(r.features).__name__ for r in plain} == {"SparseVector"} and {type(r.features).__name__ for r in dense} == {"DenseVector"}
+    for name in ("rawPrediction", "probability", "prediction"):
+        assert [r[name] for r in plain] == [r[name] for r in dense]
