@@ -1,5 +1,7 @@
 """Aggregates with about one group per row keep a task's memory the same at every size."""
 
+import re
+
 from pyspark.sql import functions as F
 
 import pytest
@@ -54,6 +56,18 @@ def test_customer_sums_hold_no_groups_in_front_of_the_exchange(spark):
     assert "REPARTITION_BY_NUM" in _plan(table)
 
 
+def test_distinct_counts_double_orders_and_not_rows(spark):
+    rows = [(1, 1, 1), (1, 1, 2), (1, 1, 2), (1, 2, None), (1, None, 3), (None, 1, 1), (None, None, None), (2, None, None)]
+    df = spark.createDataFrame(rows, "customer_id int, order_id int, payment_type_id int").select(
+        "*", F.lit("A").alias("category"), F.lit(1).alias("product_id"), F.lit("cash").alias("pay"), F.lit(1).alias("qty"),
+        F.lit("1.50").cast("decimal(18,2)").alias("dollars"),
+    )
+    table = customers.overall_features(df)
+    got = {r.customer_id: (r.orders, r.unique_payments_used) for r in table.collect()}
+    assert got == {1: (2, 3), None: (1, 1), 2: (0, 0)}
+    assert re.search(r"hashpartitioning\(customer_id#\d+L?, order_id#\d+L?, \d+\), REPARTITION_BY_NUM", _plan(table))
+
+
 def test_wide_totals_run_in_methods_that_are_compiled(spark, sf, monkeypatch):
     name, seen = "spark.sql.codegen.hugeMethodLimit", []
     before = spark.conf.get(name)
