@@ -138,12 +138,16 @@ def panel_base(spark, sf) -> DataFrame:
     return panel.weekly_base(weekly(spark, sf))
 
 
+def running_base(spark, sf) -> DataFrame:
+    return panel.weekly_base(weekly(spark, sf), running=True)
+
+
 def trailing(spark, sf) -> DataFrame:
-    return panel.trailing_features(panel.with_flag_and_labels(panel_base(spark, sf)), _C, _P)
+    return panel.trailing_features(panel.with_flag_and_labels(running_base(spark, sf)), _C, _P)
 
 
 def rolling(spark, sf) -> DataFrame:
-    return panel.rolling_feature_table(panel_base(spark, sf), _C, _P)
+    return panel.rolling_feature_table(running_base(spark, sf), _C, _P)
 
 
 def modelled(spark, sf) -> DataFrame:

@@ -32,6 +32,8 @@ AHEAD = 4
 IDS = ["customer_id", "week_end", "min_week", "max_week"]
 LABELS = ["purchase_flag_next_4w", "sales_next_4w"]
 MONEY = "decimal(18,2)"
+# Running totals that a panel may carry: of the plain measures, of the splits, and the customer's last ones.
+RUN, RUN_SPLITS, RUN_END = "__run", "__run_splits", "__run_end"
 
 
 def saturdays(first: Column, last: Column) -> Column:
@@ -82,7 +84,9 @@ def weekly_aggregate(
     )
 
 
-def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000, stored: bool = False) -> DataFrame:
+def weekly_base(
+    weekly: DataFrame, rows_per_task: int = 500_000, stored: bool = False, running: bool = False
+) -> DataFrame:
     """The panel: every week from a customer's first one to the last of all.
 
     Each weekly row emits itself and the empty weeks up to the customer's next
@@ -91,6 +95,11 @@ def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000, stored: bool =
     The panel is many times larger than the weekly rows it is exploded from, so
     the number of tasks follows from the rows it will have, not from the bytes
     that are shuffled. ``stored`` says that ``weekly`` is a stored table already.
+
+    With ``running`` the rows carry running totals, added up before the weeks are
+    filled, since an empty week does not change them. :func:`with_flag_and_labels`
+    and :func:`trailing_sums` take their sums from these and drop them at the end,
+    so no row of the panel may be left out in between.
     """
     measures = [c for c in weekly.columns if c not in ("customer_id", "week_end")]
     settled = weekly if stored else settle(weekly, "weekly")
@@ -98,7 +107,9 @@ def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000, stored: bool =
     parts = max(weekly.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task))
     mine = Window.partitionBy("customer_id")
     following = F.lead("week_end").over(mine.orderBy("week_end"))
-    spans = settled.repartition(parts, "customer_id").select(
+    dealt = settled.repartition(parts, "customer_id")
+    dealt = _with_running(dealt.filter("week_end IS NOT NULL"), measures) if running else dealt
+    spans = dealt.select(
         "*",
         F.min("week_end").over(mine).alias("min_week"),
         F.max("week_end").over(mine).alias("max_week"),
@@ -116,8 +127,38 @@ def weekly_base(weekly: DataFrame, rows_per_task: int = 500_000, stored: bool =
             F.when(bought & F.col(m).isNotNull(), F.col(m)).otherwise(F.lit(0).cast(kind[m])).alias(m)
             for m in measures
         ],
+        *[c for c in dealt.columns if c in (RUN, RUN_SPLITS, RUN_END)],
+    )
+
+
+def _with_running(weekly: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """The weekly rows with running totals in whole units; the units are in the columns' metadata.
+
+    Splits are apart, so that plans without them do not carry them.
+    """
+    zero = F.lit(0).cast("bigint")
+    units = {m: _whole(weekly, m) for m in measures} | {"purchase_flag": (_flag().cast("bigint"), 1)}
+    splits = [m for m in measures if m.startswith(("cat_", "pay_"))]
+    plain = [m for m in units if m not in splits]
+    upto = _by_week().rowsBetween(Window.unboundedPreceding, 0)
+    mine = Window.partitionBy("customer_id")
+    added = weekly.select(
+        "*",
+        *[F.sum(F.coalesce(units[m][0], zero)).over(upto).alias(f"__run_{m}") for m in units],
+        *[F.sum(F.coalesce(units[m][0], zero)).over(mine).alias(f"__end_{m}") for m in ("sales", "purchase_flag")],
     )
 
+    def packed(prefix: str, names: Sequence[str], name: str) -> Column:
+        of = {"units": {m: units[m][1] for m in names}}
+        return F.struct(*[F.col(f"{prefix}_{m}").alias(m) for m in names]).alias(name, metadata=of)
+
+    out = [packed("__run", plain, RUN), packed("__end", ["sales", "purchase_flag"], RUN_END)]
+    return added.select(*weekly.columns, *out, *([packed("__run", splits, RUN_SPLITS)] if splits else []))
+
+
+def _flag() -> Column:
+    return F.when(F.col("sales") > 0, 1).otherwise(0)
+
 
 def _last_week_and_rows(weekly: DataFrame) -> tuple[datetime.date | None, int]:
     """Last week of all customers and rows of the filled panel: one small aggregate."""
@@ -155,8 +196,10 @@ def trailing_sums(
 
     One running sum per column and a lag per span, so the cost of a row does
     not grow with the span. Sums are exact integers inside; money comes out as
-    double, counts as bigint.
+    double, counts as bigint. Running totals that ``df`` has already are used.
     """
+    if carried := _carried(df, columns):
+        return _sums_of_carried(df, carried, columns, spans, spec)
     units = {c: _whole(df, c) for c in columns}
     upto = spec.rowsBetween(Window.unboundedPreceding, 0)
     run = df.select("*", *[F.sum(units[c][0]).over(upto).alias(f"__{c}") for c in columns])
@@ -171,6 +214,32 @@ def trailing_sums(
     return lagged.select(*df.columns, *[last_n(i, c, n) for i, c in enumerate(columns) for n in spans])
 
 
+def _carried(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[str, int]]:
+    """For each column the struct of running totals that has it, and units per 1; empty if one has none."""
+    found = {
+        c: (name, unit)
+        for name in (RUN, RUN_SPLITS)
+        if name in df.columns
+        for c, unit in df.schema[name].metadata["units"].items()
+    }
+    return found if all(c in found for c in columns) else {}
+
+
+def _sums_of_carried(
+    df: DataFrame, carried: dict[str, tuple[str, int]], columns: Sequence[str], spans: Sequence[int], spec: WindowSpec
+) -> DataFrame:
+    packs = sorted({carried[c][0] for c in columns})
+    lagged = df.select("*", *[F.lag(p, n).over(spec).alias(f"{p}_{n}") for p in packs for n in spans])
+
+    def last_n(c: str, n: int) -> Column:
+        pack, unit = carried[c]
+        total = F.col(pack)[c] - F.coalesce(F.col(f"{pack}_{n}")[c], F.lit(0).cast("bigint"))
+        return (total / F.lit(float(unit)) if unit > 1 else total).alias(f"{c}_{n}w")
+
+    kept = [c for c in df.columns if c not in (RUN, RUN_SPLITS, RUN_END)]
+    return lagged.select(*kept, *[last_n(c, n) for c in columns for n in spans])
+
+
 def sliding_sums(
     df: DataFrame, columns: Sequence[str], spans: Sequence[int], spec: WindowSpec
 ) -> DataFrame:
@@ -191,9 +260,11 @@ def with_flag_and_labels(base: DataFrame, ahead: int = AHEAD) -> DataFrame:
     The labels are null in the last week, which has no week after it.
     """
     spec = _by_week()
+    flagged = base.withColumn("purchase_flag", _flag())
+    if RUN in base.columns:
+        return _labels_of_carried(flagged, ahead, spec)
     coming = spec.rowsBetween(1, ahead)
     cents, unit = _whole(base, "sales")
-    flagged = base.withColumn("purchase_flag", F.when(F.col("sales") > 0, 1).otherwise(0))
     return flagged.select(
         "*",
         F.max("purchase_flag").over(coming).alias(f"purchase_flag_next_{ahead}w"),
@@ -201,12 +272,32 @@ def with_flag_and_labels(base: DataFrame, ahead: int = AHEAD) -> DataFrame:
     )
 
 
+def _labels_of_carried(flagged: DataFrame, ahead: int, spec: WindowSpec) -> DataFrame:
+    """The running totals ``ahead`` weeks on, or else the customer's last ones, minus those of the week."""
+    unit = flagged.schema[RUN].metadata["units"]["sales"]
+    seen = flagged.select(
+        "*", F.lead(RUN, ahead).over(spec).alias("__ahead"), F.lead("week_end", 1).over(spec).alias("__next_week")
+    )
+
+    def coming(c: str) -> Column:
+        return F.coalesce(F.col("__ahead")[c], F.col(RUN_END)[c]) - F.col(RUN)[c]
+
+    known = F.col("__next_week").isNotNull()
+    return seen.select(
+        *flagged.columns,
+        F.when(known, F.when(coming("purchase_flag") > 0, 1).otherwise(0)).alias(f"purchase_flag_next_{ahead}w"),
+        F.when(known, coming("sales") / F.lit(float(unit))).alias(f"sales_next_{ahead}w"),
+    )
+
+
 def _by_week() -> WindowSpec:
     return Window.partitionBy("customer_id").orderBy("week_end")
 
 
-def trailing_features(flagged: DataFrame, categories: Sequence[str], payments: Sequence[str]) -> DataFrame:
-    return trailing_sums(flagged, base_columns(categories, payments), SPANS, _by_week())
+def trailing_features(
+    flagged: DataFrame, categories: Sequence[str], payments: Sequence[str], spans: Sequence[int] = SPANS
+) -> DataFrame:
+    return trailing_sums(flagged, base_columns(categories, payments), spans, _by_week())
 
 
 def _suffixes() -> list[str]:
@@ -257,6 +348,13 @@ def rolling_feature_table(base: DataFrame, categories: Sequence[str], payments:
     measures, 4n trailing sums, 15 ratios, c + p shares, 4 trends and 3 parts
     of the date: 102 features for five of each.
     """
+    if RUN in base.columns:
+        # a week's own money as its sum over one week, so no decimal goes through the windows
+        money = ["sales", *split_columns(categories, payments)]
+        summed = trailing_features(with_flag_and_labels(base), categories, payments, (1, *SPANS))
+        names = [c for c in summed.columns if not c.endswith("_1w")]
+        own = summed.select(*[F.col(f"{c}_1w").alias(c) if c in money else F.col(c) for c in names])
+        return _finished(own, categories, payments)
     return _finished(trailing_features(with_flag_and_labels(base), categories, payments), categories, payments)
 
 

@@ -208,3 +208,30 @@ def test_only_the_newest_weeks_folder_is_scored(spark, weekly, tmp_path):
     assert len(list((tmp_path / "features").glob("week_end=*"))) == 2
     assert newest.count() == weekly.select("customer_id").distinct().count() and len({f.rsplit("/", 2)[1] for f in newest.inputFiles()}) == 1
     assert jobs.splits(weekly) == (CATS, PAYS)
+
+
+def test_running_totals_made_before_the_fill_give_the_same_table(enriched):
+    """Also with weeks that are null, missing amounts, a null customer, and customers that end before the last week."""
+    odd = enriched.limit(40).withColumns({"customer_id": F.lit(None).cast("int"), "order_id": F.col("order_id") + 1000})
+    undated = enriched.limit(5).withColumn("tran_dt", F.lit(None).cast("date"))
+    early = enriched.filter("tran_dt < date'2019-06-01'").withColumn("customer_id", F.col("customer_id") + 10)
+    bare = enriched.limit(9).withColumns({"dollars": F.lit(None).cast("decimal(18,2)"), "customer_id": F.lit(99)})
+    rows = enriched.unionByName(odd).unionByName(undated).unionByName(early).unionByName(bare)
+    weekly = panel.weekly_aggregate(rows, CATS, PAYS).persist()
+    plain = panel.rolling_feature_table(panel.weekly_base(weekly), CATS, PAYS)
+    carried = panel.rolling_feature_table(panel.weekly_base(weekly, running=True), CATS, PAYS)
+    assert [(f.name, f.dataType) for f in plain.schema] == [(f.name, f.dataType) for f in carried.schema]
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, carried.collect()))
+    few = panel.trailing_features(panel.with_flag_and_labels(panel.weekly_base(weekly, running=True)), CATS, PAYS)
+    same = panel.trailing_features(panel.with_flag_and_labels(panel.weekly_base(weekly)), CATS, PAYS)
+    assert [(f.name, f.dataType) for f in few.schema] == [(f.name, f.dataType) for f in same.schema]
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, same.collect()))
+
+
+def test_panel_queries_run_one_window_over_the_filled_weeks(spark):
+    """Running totals in front of the fill, and for a trend without the split columns."""
+    for build in (features.rolling, lambda s, d: panel.derived(features.trailing(s, d), panel.trend_columns()).select("customer_id", *panel.trend_columns())):
+        plan = build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        over_weeks = plan[: plan.index("Generate explode")]
+        assert over_weeks.count("Window [") == 1 and "sum(" not in over_weeks
+    assert "cat_" not in plan
