@@ -7,9 +7,12 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from basketloom.catalog import learning, load
 from basketloom.catalog import views as v
 from basketloom.plans import jobs, models
 
+QUERIES, _ = load()
+
 
 @pytest.fixture(scope="module")
 def vectors(spark, sf):
@@ -185,3 +188,32 @@ def test_scores_of_dense_vectors_are_those_of_sparse_ones(spark):
     assert {type(r.features).__name__ for r in plain} == {"SparseVector"} and {type(r.features).__name__ for r in dense} == {"DenseVector"}
     for name in ("rawPrediction", "probability", "prediction"):
         assert [r[name] for r in plain] == [r[name] for r in dense]
+
+
+def test_trees_are_trained_on_every_labelled_row(spark):
+    """Also on the rows of a class of more than ``PER_CLASS``; a row without a label teaches nothing."""
+    label = F.when(F.col("id") < 30_000, (F.col("id") % 10 == 0).cast("int"))
+    rows = models.training_rows(spark.range(0, 31_000, 1, 23).select("id", label.alias("y")), "y", ["id"])
+    assert rows.rdd.getNumPartitions() <= min(3, spark.sparkContext.defaultParallelism)
+    assert sorted(r.id for r in rows.collect()) == list(range(30_000))
+
+
+class _Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name, fit", [("boosted_trees_fit", "fit_boosted")])
+def test_registered_fits_see_the_whole_training_side(spark, monkeypatch, name, fit):
+    def seen(df, label):
+        raise _Seen(df.count())
+
+    rows = spark.range(30_000).select(
+        F.col("id").alias("customer_id"), F.lit("2020-01-31").alias("week_end"),
+        (F.col("id") % 3 == 0).cast("int").alias("purchase_flag_next_4w"), (F.col("id") % 5 != 0).cast("int").alias("is_train"),
+    )
+    monkeypatch.setattr(learning, "_model_rows", lambda spark, sf: rows)
+    monkeypatch.setattr(learning, "_fits", {})
+    monkeypatch.setattr(models, fit, seen)
+    with pytest.raises(_Seen) as found:
+        QUERIES[name](spark, "none")
+    assert found.value.args == (24_000,)
