@@ -202,7 +202,7 @@ class _Seen(Exception):
     pass
 
 
-@pytest.mark.parametrize("name, fit", [("boosted_trees_fit", "fit_boosted"), ("random_forest_fit", "fit_forest")])
+@pytest.mark.parametrize("name, fit", [("boosted_trees_fit", "fit_boosted"), ("random_forest_fit", "fit_forest"), ("feature_importance", "fit_forest")])
 def test_registered_fits_see_the_whole_training_side(spark, monkeypatch, name, fit):
     def seen(df, label):
         raise _Seen(df.count())
